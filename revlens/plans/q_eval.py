@@ -1 +1,496 @@
-"""Registered queries (filled in below)."""
+"""Registered evaluation queries: splits, binary and selective metrics,
+band sweep, probability histograms, multi-label metrics and tuning,
+bootstrap, McNemar, error taxonomy."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import constants as K
+from ..functions import rules as R
+from ..operators import metrics as M
+from ..operators import stats as S
+from ..sources.fixtures import issue_scores, scored_reviews
+from . import duck as D
+from .registry import register
+
+RV, SC, IS = D.reviews_cte, D.scored_cte, D.issue_scores_cte
+MODELS = {"m1": "p", "m2": "p2"}
+
+
+def _w(*ctes):
+    return D.with_ctes(*[c() for c in ctes])
+
+
+def r(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) > 0 THEN ({num})::DOUBLE / ({den})::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+def _long_sql(where: str = "y IS NOT NULL") -> str:
+    return ("long_m AS (" + " UNION ALL ".join(
+        f"SELECT review_id, {D.q(m)} AS model, split, y, rating, text, clean_text, nnz, {c} AS prob "
+        f"FROM scored_reviews WHERE {where}" for m, c in MODELS.items()) + ")")
+
+
+def _long(spark, d, strong_only=True):
+    sr = scored_reviews(spark, d)
+    if strong_only:
+        sr = sr.where(F.col("y").isNotNull())
+    return M.long_models(sr, MODELS, ["review_id", "split", "y", "rating", "text", "clean_text", "nnz"])
+
+
+def dec_sql(prob: str, lo: float, hi: float, nnz: bool = True) -> tuple[str, str]:
+    short = f"({D.token_count('clean_text')} < 2 OR trim(clean_text) = '')"
+    sparse = f"(nnz < {K.MIN_NNZ_DEFAULT})" if nnz else "false"
+    dec = (f"(CASE WHEN {short} OR {sparse} THEN -1 WHEN {prob} >= {hi} THEN 1 WHEN {prob} <= {lo} THEN 0 "
+           f"ELSE -1 END)")
+    why = (f"(CASE WHEN {short} THEN 'too_short' WHEN {sparse} THEN 'sparse_vector' "
+           f"WHEN {prob} >= {hi} OR {prob} <= {lo} THEN NULL ELSE 'threshold_band' END)")
+    return dec, why
+
+
+def selective_sql(y: str = "y", dec: str = "decision") -> str:
+    cov = f"{dec} <> -1"
+    n = "count(*)"
+    ncov = f"count(*) FILTER (WHERE {cov})"
+    tp0 = f"count(*) FILTER (WHERE {cov} AND {y} = 0 AND {dec} = 0)"
+    fp0 = f"count(*) FILTER (WHERE {cov} AND {y} = 1 AND {dec} = 0)"
+    fn0 = f"count(*) FILTER (WHERE {cov} AND {y} = 0 AND {dec} = 1)"
+    neg = f"count(*) FILTER (WHERE {cov} AND {y} = 0)"
+    return f"""round({ncov}::DOUBLE / {n}::DOUBLE, 6) AS coverage,
+       round(1.0::DOUBLE - {ncov}::DOUBLE / {n}::DOUBLE, 6) AS uncertain_rate,
+       round(CASE WHEN {ncov} > 0 THEN {r(tp0, f'{tp0} + {fp0}')} END, 6) AS selective_precision_0,
+       round(CASE WHEN {ncov} > 0 THEN {r(tp0, f'{tp0} + {fn0}')} END, 6) AS selective_recall_0,
+       round(CASE WHEN {ncov} > 0 THEN {r(f'5 * {tp0}', f'5 * {tp0} + 4 * {fn0} + {fp0}')} END, 6) AS selective_f2_0,
+       round(CASE WHEN {ncov} > 0 AND {neg} > 0 THEN {fn0}::DOUBLE / {neg}::DOUBLE END, 6) AS fnr_covered_0"""
+
+
+# --------------------------------------------------------------------------
+# AGG-2 / SPL-1, MET-1..3, TUN-3, TOP-6, AGG-3..6
+# --------------------------------------------------------------------------
+
+@register("split_summary", lambda: _w(RV, SC) + """
+SELECT split, count(*)::BIGINT AS n, count(*) FILTER (WHERE y = 0)::BIGINT AS n_negative,
+       count(*) FILTER (WHERE y = 1)::BIGINT AS n_positive, count(*) FILTER (WHERE y IS NULL)::BIGINT AS n_three_star
+FROM scored_reviews GROUP BY split""")
+def q_split_summary(spark, d):
+    """SPL-1 + AGG-2: hash split (70/10/20 in expectation) × label counts."""
+    sr = scored_reviews(spark, d)
+    y = F.col("y")
+    return sr.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_if(y == 0).alias("n_negative"),
+                                   F.count_if(y == 1).alias("n_positive"), F.count_if(y.isNull()).alias("n_three_star"))
+
+
+def _binary_sql():
+    tp1, fp1 = "count(*) FILTER (WHERE y = 1 AND prob >= 0.5)", "count(*) FILTER (WHERE y = 0 AND prob >= 0.5)"
+    fn1, tn1 = "count(*) FILTER (WHERE y = 1 AND prob < 0.5)", "count(*) FILTER (WHERE y = 0 AND prob < 0.5)"
+    return _w(RV, SC) + ",\n" + _long_sql() + f""",
+c AS (SELECT model, split, {tp1} AS tp1, {fp1} AS fp1, {fn1} AS fn1, {tn1} AS tn1 FROM long_m GROUP BY model, split)
+SELECT model, split, (tp1 + fp1 + fn1 + tn1)::BIGINT AS n,
+       round({r('tp1 + tn1', 'tp1 + fp1 + fn1 + tn1')}, 6) AS accuracy,
+       round({r('2 * tp1', '2 * tp1 + fn1 + fp1')}, 6) AS f1,
+       round({r('tn1', 'tn1 + fn1')}, 6) AS precision_0, round({r('tn1', 'tn1 + fp1')}, 6) AS recall_0,
+       round({r('2 * tn1', '2 * tn1 + fp1 + fn1')}, 6) AS f1_0,
+       round({r('5 * tn1', '5 * tn1 + 4 * fp1 + fn1')}, 6) AS f2_0,
+       round({r('tp1', 'tp1 + fp1')}, 6) AS precision_1, round({r('tp1', 'tp1 + fn1')}, 6) AS recall_1,
+       round({r('2 * tp1', '2 * tp1 + fn1 + fp1')}, 6) AS f1_1
+FROM c"""
+
+
+@register("binary_metrics", _binary_sql)
+def q_binary_metrics(spark, d):
+    """MET-1 for two models × three splits in one aggregation."""
+    return M.binary_metrics(_long(spark, d))
+
+
+@register("confusion_matrix", lambda: _w(RV, SC) + ",\n" + _long_sql() + """
+SELECT model, split, t.y_true, t.y_pred,
+       (SELECT count(*) FROM long_m l WHERE l.model = g.model AND l.split = g.split AND l.y = t.y_true
+          AND (l.prob >= 0.5)::INT = t.y_pred)::BIGINT AS count
+FROM (SELECT DISTINCT model, split FROM long_m) g, (VALUES (1, 1), (0, 1), (1, 0), (0, 0)) t(y_true, y_pred)""")
+def q_confusion_matrix(spark, d):
+    """MET-2."""
+    return M.confusion_matrix(_long(spark, d))
+
+
+def _selective_q_sql():
+    dec, _ = dec_sql("prob", *K.DEFAULT_THRESHOLDS)
+    return _w(RV, SC) + ",\n" + _long_sql() + f""",
+dd AS (SELECT model, split, y, {dec} AS decision FROM long_m)
+SELECT model, split, {selective_sql()} FROM dd GROUP BY model, split"""
+
+
+@register("selective_metrics", _selective_q_sql)
+def q_selective_metrics(spark, d):
+    """DEC-1 + MET-3 at the default band (.40/.60, min_nnz 2)."""
+    lg = _long(spark, d)
+    dec, _ = R.abstain_decision(F.col("prob"), F.col("clean_text"), F.col("nnz"))
+    return lg.withColumn("decision", dec).groupBy("model", "split").agg(
+        *M.selective_from_decisions(F.col("y"), F.col("decision")))
+
+
+def _sweep_sql(final: str):
+    parts = []
+    for lo, hi in K.BAND_PAIRS:
+        dec, why = dec_sql("prob", lo, hi)
+        parts.append(f"SELECT model, split, y, {lo}::DOUBLE AS lo, {hi}::DOUBLE AS hi, {dec} AS decision, "
+                     f"{why} AS reason FROM long_m")
+    return _w(RV, SC) + ",\n" + _long_sql() + f""",
+bd AS ({' UNION ALL '.join(parts)}),
+sweep AS (SELECT model, split, lo, hi, {selective_sql()},
+       round(count(*) FILTER (WHERE reason IN ('too_short', 'sparse_vector'))::DOUBLE / count(*)::DOUBLE, 6) AS fallback_rate
+FROM bd GROUP BY model, split, lo, hi)
+{final}"""
+
+
+@register("band_sweep", lambda: _sweep_sql("SELECT * FROM sweep"))
+def q_band_sweep(spark, d):
+    """TUN-3: selective metrics and fallback rate for the 4 bands."""
+    return M.band_sweep(M.with_bands(_long(spark, d), "prob", "clean_text", "nnz"))
+
+
+@register("recommended_band", lambda: _sweep_sql("""
+SELECT model, arg_max({'lo': lo, 'hi': hi, 'coverage': coverage, 'selective_recall_0': selective_recall_0,
+                       'selective_precision_0': selective_precision_0},
+                      [(selective_precision_0 >= 0.5)::INT::DOUBLE, coalesce(selective_recall_0, -1.0), coverage, -lo, -hi]) AS b
+FROM sweep WHERE split = 'test' GROUP BY model""").replace("SELECT model, arg_max", "SELECT model, b.lo, b.hi, b.coverage, b.selective_recall_0, b.selective_precision_0 FROM (SELECT model, arg_max") + ")")
+def q_recommended_band(spark, d):
+    """TOP-6 on the test split."""
+    sw = M.band_sweep(M.with_bands(_long(spark, d), "prob", "clean_text", "nnz")).where(F.col("split") == "test")
+    return M.recommended_band(sw)
+
+
+@register("fallback_stats", lambda: _w(RV, SC) + f""",
+f AS (SELECT CASE WHEN y IS NULL THEN 'three_star' ELSE split END AS dataset,
+             {dec_sql('p', *K.DEFAULT_THRESHOLDS)[1]} AS reason FROM scored_reviews)
+SELECT dataset, count(*)::BIGINT AS total, count(*) FILTER (WHERE reason = 'too_short')::BIGINT AS too_short,
+       count(*) FILTER (WHERE reason = 'sparse_vector')::BIGINT AS sparse_vector,
+       round(count(*) FILTER (WHERE reason IN ('too_short', 'sparse_vector'))::DOUBLE / count(*)::DOUBLE, 6) AS fallback_rate
+FROM f GROUP BY dataset""")
+def q_fallback_stats(spark, d):
+    """AGG-3: abstention fallbacks per split and for the 3-star set."""
+    sr = scored_reviews(spark, d)
+    _, why = R.abstain_decision(F.col("p"), F.col("clean_text"), F.col("nnz"))
+    f = sr.select(F.when(F.col("y").isNull(), "three_star").otherwise(F.col("split")).alias("dataset"),
+                  why.alias("reason"))
+    rs = F.col("reason")
+    return f.groupBy("dataset").agg(F.count(F.lit(1)).alias("total"), F.count_if(rs == "too_short").alias("too_short"),
+                                    F.count_if(rs == "sparse_vector").alias("sparse_vector"),
+                                    F.round(F.count_if(rs.isin("too_short", "sparse_vector")) / F.count(F.lit(1)), 6)
+                                    .alias("fallback_rate"))
+
+
+@register("three_star_fractions", lambda: _w(RV, SC) + f""",
+f AS (SELECT {dec_sql('p', *K.DEFAULT_THRESHOLDS)[0]} AS decision FROM scored_reviews WHERE rating = 3)
+SELECT count(*)::BIGINT AS n, round(avg((decision = 1)::INT), 6) AS frac_positive,
+       round(avg((decision = 0)::INT), 6) AS frac_negative, round(avg((decision = -1)::INT), 6) AS frac_uncertain
+FROM f""")
+def q_three_star_fractions(spark, d):
+    """AGG-4: decision shares on the held-out 3-star reviews."""
+    sr = scored_reviews(spark, d).where(F.col("rating") == 3)
+    dec, _ = R.abstain_decision(F.col("p"), F.col("clean_text"), F.col("nnz"))
+    f = sr.select(dec.alias("d"))
+    return f.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("d") == 1).cast("int")), 6).alias("frac_positive"),
+                 F.round(F.avg((F.col("d") == 0).cast("int")), 6).alias("frac_negative"),
+                 F.round(F.avg((F.col("d") == -1).cast("int")), 6).alias("frac_uncertain"))
+
+
+@register("nnz_histogram", lambda: _w(RV, SC) + """
+SELECT split, (nnz // 2) * 2 AS nnz_bin, count(*)::BIGINT AS count, round(avg(nnz::DOUBLE), 6) AS avg_nnz
+FROM scored_reviews GROUP BY split, nnz // 2""")
+def q_nnz_histogram(spark, d):
+    """AGG-5: per split histogram of distinct-token counts (bin width 2)."""
+    sr = scored_reviews(spark, d)
+    b = F.floor(F.col("nnz") / 2).cast("int")
+    return sr.groupBy("split", (b * 2).alias("nnz_bin")).agg(
+        F.count(F.lit(1)).alias("count"), F.round(F.avg(F.col("nnz").cast("double")), 6).alias("avg_nnz"))
+
+
+@register("prob_histogram", lambda: _w(RV, SC) + """
+SELECT y, least(floor(p * 30.0)::INT, 29) AS bin, count(*)::BIGINT AS count
+FROM scored_reviews WHERE y IS NOT NULL GROUP BY 1, 2""")
+def q_prob_histogram(spark, d):
+    """AGG-6: 30 equal bins on [0, 1] of p by true label."""
+    sr = scored_reviews(spark, d).where(F.col("y").isNotNull())
+    b = F.least(F.floor(F.col("p") * 30.0).cast("int"), F.lit(29))
+    return sr.groupBy("y", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+
+
+# --------------------------------------------------------------------------
+# MET-4/5, TUN-1/2/4, WIN-4, RTE-1/2 on issue scores
+# --------------------------------------------------------------------------
+
+def _is_long(spark, d):
+    s = issue_scores(spark, d)
+    rows = F.array(F.struct(F.lit("ovr_a").alias("model"), F.col("score").alias("s")),
+                   F.struct(F.lit("ovr_b").alias("model"), F.col("score2").alias("s")))
+    return s.select("review_id", "label", "truth", F.inline(rows))
+
+
+IS_LONG = ("is_long AS (SELECT review_id, label, truth, 'ovr_a' AS model, score AS s FROM issue_scores "
+           "UNION ALL SELECT review_id, label, truth, 'ovr_b' AS model, score2 AS s FROM issue_scores)")
+
+
+@register("multilabel_metrics", lambda: _w(RV, IS) + ",\n" + IS_LONG + f""",
+pl AS (SELECT model, label, count(*) FILTER (WHERE truth = 1 AND s >= 0.5) AS tp,
+              count(*) FILTER (WHERE truth = 0 AND s >= 0.5) AS fp, count(*) FILTER (WHERE truth = 1 AND s < 0.5) AS fn
+       FROM is_long GROUP BY model, label),
+lb AS (SELECT model, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, avg({r('2 * tp', '2 * tp + fp + fn')}) AS macro_f1,
+              count(*) AS n_labels FROM pl GROUP BY model),
+pr AS (SELECT model, review_id, min((truth = (s >= 0.5)::INT)::INT) AS exact, sum(truth) AS ct, sum((s >= 0.5)::INT) AS cp
+       FROM is_long GROUP BY model, review_id),
+rw AS (SELECT model, avg(exact) AS subset_accuracy, count(*) AS n_rows, avg(ct) AS cardinality_true,
+              avg(cp) AS cardinality_pred FROM pr GROUP BY model)
+SELECT model, round({r('2 * tp', '2 * tp + fp + fn')}, 6) AS micro_f1, round(macro_f1, 6) AS macro_f1,
+       round(subset_accuracy, 6) AS subset_accuracy, round((fp + fn)::DOUBLE / (n_rows * n_labels)::DOUBLE, 6) AS hamming_loss,
+       round(cardinality_true, 6) AS cardinality_true, round(cardinality_pred, 6) AS cardinality_pred
+FROM lb JOIN rw USING (model)""")
+def q_multilabel_metrics(spark, d):
+    """MET-4 for two score sets at threshold .5."""
+    return M.multilabel_metrics(_is_long(spark, d), F.col("s") >= 0.5)
+
+
+@register("per_label_metrics", lambda: _w(RV, IS) + ",\n" + IS_LONG + f""",
+c AS (SELECT model, label, count(*) FILTER (WHERE truth = 1 AND s >= 0.5) AS tp,
+             count(*) FILTER (WHERE truth = 0 AND s >= 0.5) AS fp, count(*) FILTER (WHERE truth = 1 AND s < 0.5) AS fn,
+             count(*) AS n FROM is_long GROUP BY model, label)
+SELECT model, label, round({r('tp', 'tp + fp')}, 6) AS precision, round({r('tp', 'tp + fn')}, 6) AS recall,
+       round({r('2 * tp', '2 * tp + fp + fn')}, 6) AS f1, (tp + fn)::BIGINT AS support,
+       (tp + fp)::BIGINT AS predicted_positive, round((tp + fn)::DOUBLE / n::DOUBLE, 6) AS frequency
+FROM c""")
+def q_per_label_metrics(spark, d):
+    """MET-5."""
+    return M.per_label_metrics(_is_long(spark, d), F.col("s") >= 0.5)
+
+
+def _thr_sql(src: str = "issue_scores", score: str = "score") -> str:
+    return f"""
+g AS (SELECT unnest(range(2, 19)) AS i),
+pts AS (SELECT label, i / 20.0::DOUBLE AS threshold,
+               count(*) FILTER (WHERE truth = 1 AND {score} >= i / 20.0::DOUBLE) AS tp,
+               count(*) FILTER (WHERE truth = 0 AND {score} >= i / 20.0::DOUBLE) AS fp,
+               count(*) FILTER (WHERE truth = 1) AS P, count(*) FILTER (WHERE truth = 0) AS N
+        FROM {src}, g GROUP BY label, i),
+sc AS (SELECT label, threshold, {r('2 * tp', '2 * tp + fp + (P - tp)')} AS f1, P, N FROM pts),
+best AS (SELECT label, arg_max({{'threshold': threshold, 'f1': f1}}, [f1, -abs(threshold - 0.5), -threshold]) AS b,
+                max(P) AS P, max(N) AS N FROM sc GROUP BY label),
+thr AS (SELECT label, CASE WHEN P = 0 OR N = 0 THEN 0.5 ELSE b.threshold END AS threshold,
+               round(CASE WHEN P = 0 OR N = 0 THEN NULL ELSE b.f1 END, 6) AS f1 FROM best)"""
+
+
+@register("label_thresholds", lambda: _w(RV, IS) + "," + _thr_sql() + "\nSELECT * FROM thr")
+def q_label_thresholds(spark, d):
+    """TUN-1: per-label F1-optimal threshold on the .10-.90 grid
+    (histogram + reverse cumulative sums; oracle = brute force)."""
+    return M.tune_thresholds(issue_scores(spark, d))
+
+
+@register("blend_weights", lambda: _w(RV, IS) + f""",
+a AS (SELECT unnest(range(0, 11)) / 10.0::DOUBLE AS alpha),
+c AS (SELECT label, alpha,
+             count(*) FILTER (WHERE truth = 1 AND alpha * score + (1.0::DOUBLE - alpha) * score2 >= 0.5) AS tp,
+             count(*) FILTER (WHERE truth = 0 AND alpha * score + (1.0::DOUBLE - alpha) * score2 >= 0.5) AS fp,
+             count(*) FILTER (WHERE truth = 1 AND alpha * score + (1.0::DOUBLE - alpha) * score2 < 0.5) AS fn
+      FROM issue_scores, a GROUP BY label, alpha),
+m AS (SELECT label, alpha, {r('5 * tp', '5 * tp + 4 * fn + fp')} AS f2, {r('tp', 'tp + fn')} AS recall,
+             {r('tp', 'tp + fp')} AS precision FROM c),
+b AS (SELECT label, arg_max({{'alpha': alpha, 'f2': f2, 'recall': recall, 'precision': precision}},
+                            [f2, recall, precision, -abs(alpha - 0.5)]) AS b FROM m GROUP BY label)
+SELECT label, b.alpha AS alpha, round(b.f2, 6) AS f2, round(b.recall, 6) AS recall, round(b.precision, 6) AS precision
+FROM b""")
+def q_blend_weights(spark, d):
+    """TUN-2: per-label blend weight of two score sets."""
+    return M.tune_blend(issue_scores(spark, d))
+
+
+@register("threshold_stability", lambda: _w(RV, IS) + "," + _thr_sql() + f""",
+dl AS (SELECT * FROM (VALUES (-0.10), (-0.05), (0.0), (0.05), (0.10)) t(delta)),
+j AS (SELECT s.label, s.truth, s.score, d.delta, least(0.95, greatest(0.05, t.threshold + d.delta::DOUBLE)) AS th
+      FROM issue_scores s JOIN thr t USING (label), dl d),
+per AS (SELECT delta, label, count(*) FILTER (WHERE truth = 1 AND score >= th) AS tp,
+               count(*) FILTER (WHERE truth = 0 AND score >= th) AS fp,
+               count(*) FILTER (WHERE truth = 1 AND score < th) AS fn FROM j GROUP BY delta, label)
+SELECT round(delta::DOUBLE, 2) AS delta, round({r('2 * sum(tp)', '2 * sum(tp) + sum(fp) + sum(fn)')}, 6) AS micro_f1,
+       round(avg({r('2 * tp', '2 * tp + fp + fn')}), 6) AS macro_f1
+FROM per GROUP BY delta""")
+def q_threshold_stability(spark, d):
+    """TUN-4: micro/macro F1 with tuned thresholds shifted by Δ."""
+    s = issue_scores(spark, d)
+    return M.threshold_stability(s, M.tune_thresholds(s))
+
+
+@register("top_errors", lambda: _w(RV, IS) + """,
+e AS (SELECT review_id, label, score,
+             CASE WHEN truth = 0 AND score >= 0.5 THEN 'false_positive' WHEN truth = 1 AND score < 0.5 THEN 'false_negative' END AS error_type
+      FROM issue_scores),
+k AS (SELECT *, row_number() OVER (PARTITION BY label, error_type
+              ORDER BY CASE WHEN error_type = 'false_positive' THEN -score ELSE score END, review_id) AS rank
+      FROM e WHERE error_type IS NOT NULL)
+SELECT label, error_type, rank, review_id, round(score, 6) AS score FROM k WHERE rank <= 3""")
+def q_top_errors(spark, d):
+    """WIN-4: top-3 false positives (score desc) and false negatives
+    (score asc) per label.  ``row_number() <= 3`` lets Spark insert a
+    per-partition WindowGroupLimit before the shuffle, so each map task
+    forwards at most 3 rows per group even for a hot label."""
+    s = issue_scores(spark, d)
+    err = (F.when((F.col("truth") == 0) & (F.col("score") >= 0.5), "false_positive")
+           .when((F.col("truth") == 1) & (F.col("score") < 0.5), "false_negative"))
+    e = s.select("review_id", "label", "score", err.alias("error_type")).where(F.col("error_type").isNotNull())
+    key = F.when(F.col("error_type") == "false_positive", -F.col("score")).otherwise(F.col("score"))
+    w = Window.partitionBy("label", "error_type").orderBy(key, F.col("review_id"))
+    return (e.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 3)
+            .select("label", "error_type", "rank", "review_id", F.round("score", 6).alias("score")))
+
+
+@register("hybrid_routing")
+def q_hybrid_routing(spark, d, margin: float = 0.08, cap: float = 0.30):
+    """RTE-1/2: route a review to the second scorer when its smallest
+    |score − .5| margin is below ``margin``; if more than ``cap`` of rows
+    would route, route those with margin ≤ the cap-quantile (approximate
+    percentile: exact would need every margin in one task).  Reports
+    micro-F1 of each scorer and of the hybrid."""
+    s = issue_scores(spark, d)
+    per = s.groupBy("review_id").agg(F.min(F.abs(F.col("score") - 0.5)).alias("m"))
+    stats = per.agg(F.avg((F.col("m") < margin).cast("double")).alias("share"),
+                    F.percentile_approx("m", cap, 10000).alias("q"))
+    routed = per.join(F.broadcast(stats), how="left")  # one-row side
+    routed = routed.select("review_id", F.when(F.col("share") > cap, F.col("m") <= F.col("q"))
+                           .otherwise(F.col("m") < margin).alias("routed"))
+    j = s.join(routed, "review_id")
+    hy = F.when(F.col("routed"), F.col("score2")).otherwise(F.col("score"))
+    rows = F.array(F.struct(F.lit("primary").alias("model"), (F.col("score") >= 0.5).alias("hit")),
+                   F.struct(F.lit("secondary").alias("model"), (F.col("score2") >= 0.5).alias("hit")),
+                   F.struct(F.lit("hybrid").alias("model"), (hy >= 0.5).alias("hit")))
+    ex = j.select("review_id", "label", "truth", "routed", F.inline(rows))
+    t, h = F.col("truth"), F.col("hit")
+    return ex.groupBy("model").agg(
+        F.round(2 * F.count_if((t == 1) & h) / (2 * F.count_if((t == 1) & h) + F.count_if((t == 0) & h)
+                                                + F.count_if((t == 1) & ~h)), 6).alias("micro_f1"),
+        F.round(F.count_if(F.col("routed")) / F.count(F.lit(1)), 6).alias("routed_share"))
+
+
+# --------------------------------------------------------------------------
+# STA-1..3, AGG-18
+# --------------------------------------------------------------------------
+
+def _test_preds(spark, d):
+    sr = scored_reviews(spark, d).where((F.col("split") == "test") & F.col("y").isNotNull())
+    return sr.select("review_id", "y", "text", "p", (F.col("p") >= 0.5).cast("int").alias("pred_a"),
+                     (F.col("p2") >= 0.5).cast("int").alias("pred_b"))
+
+
+def _poisson_sql(uv: str) -> str:
+    return "(CASE " + " ".join(f"WHEN {uv} < {c!r} THEN {k}" for k, c in enumerate(S.POISSON1_CDF)) + \
+        f" ELSE {len(S.POISSON1_CDF)} END)"
+
+
+def _boot_sql(reps: int, paired: bool) -> str:
+    uv = D.u("'boot' || rep::VARCHAR")
+
+    def cnt(pred, w, sfx):
+        return (f"sum(CASE WHEN y = 0 AND {pred} = 0 THEN {w} ELSE 0 END) AS tp0{sfx}, "
+                f"sum(CASE WHEN y = 1 AND {pred} = 0 THEN {w} ELSE 0 END) AS fp0{sfx}, "
+                f"sum(CASE WHEN y = 0 AND {pred} = 1 THEN {w} ELSE 0 END) AS fn0{sfx}")
+
+    def met(m, sfx):
+        tp, fp, fn = f"tp0{sfx}", f"fp0{sfx}", f"fn0{sfx}"
+        return {"recall_0": r(tp, f"{tp} + {fn}"), "precision_0": r(tp, f"{tp} + {fp}"),
+                "f2_0": r(f"5 * {tp}", f"5 * {tp} + 4 * {fn} + {fp}")}[m]
+
+    if paired:
+        counts_w = cnt("pred_a", "w", "_a") + ", " + cnt("pred_b", "w", "_b")
+        counts_1 = cnt("pred_a", "1", "_a") + ", " + cnt("pred_b", "1", "_b")
+        val = {m: f"({met(m, '_a')} - {met(m, '_b')})" for m in S.METRICS}
+        pname = "point_diff"
+    else:
+        counts_w, counts_1 = cnt("pred_a", "w", ""), cnt("pred_a", "1", "")
+        val = {m: met(m, "") for m in S.METRICS}
+        pname = "point_estimate"
+    unions = " UNION ALL ".join(f"SELECT {D.q(m)} AS metric, {val[m]} AS v FROM reps" for m in S.METRICS)
+    punions = " UNION ALL ".join(f"SELECT {D.q(m)} AS metric, round({val[m]}, 6) AS {pname} FROM pt" for m in S.METRICS)
+    return _w(RV, SC) + f""",
+tp AS (SELECT review_id, y, (p >= 0.5)::INT AS pred_a, (p2 >= 0.5)::INT AS pred_b FROM scored_reviews
+       WHERE split = 'test' AND y IS NOT NULL),
+ex AS (SELECT *, {_poisson_sql(uv)} AS w FROM (SELECT *, unnest(range(1, {reps + 1})) AS rep FROM tp)),
+reps AS (SELECT rep, {counts_w} FROM ex GROUP BY rep),
+pt AS (SELECT {counts_1} FROM tp),
+vals AS ({unions}),
+ci AS (SELECT metric, round(quantile_cont(v, 0.025), 6) AS ci_low, round(quantile_cont(v, 0.975), 6) AS ci_high
+       FROM vals GROUP BY metric),
+pts AS ({punions})
+SELECT * FROM pts JOIN ci USING (metric)"""
+
+
+@register("bootstrap_ci", lambda: _boot_sql(200, False))
+def q_bootstrap_ci(spark, d):
+    """STA-1: 200 Poisson-bootstrap replicates on the test split."""
+    return S.bootstrap_ci(_test_preds(spark, d), "y", "pred_a", replicates=200)
+
+
+@register("paired_bootstrap", lambda: _boot_sql(200, True))
+def q_paired_bootstrap(spark, d):
+    """STA-2: paired bootstrap of model a − model b."""
+    return S.paired_bootstrap(_test_preds(spark, d), "y", "pred_a", "pred_b", replicates=200)
+
+
+def _erfc_sql(x: str) -> str:
+    t = f"(1.0::DOUBLE / (1.0::DOUBLE + 0.3275911::DOUBLE * {x}))"
+    poly = (f"({t} * (0.254829592::DOUBLE + {t} * (-0.284496736::DOUBLE + {t} * (1.421413741::DOUBLE "
+            f"+ {t} * (-1.453152027::DOUBLE + {t} * 1.061405429::DOUBLE)))))")
+    return f"({poly} * exp(-({x} * {x})))"
+
+
+@register("mcnemar", lambda: _w(RV, SC) + f""",
+tp AS (SELECT y, (p >= 0.5)::INT AS pred_a, (p2 >= 0.5)::INT AS pred_b FROM scored_reviews
+       WHERE split = 'test' AND y IS NOT NULL),
+c AS (SELECT count(*) FILTER (WHERE pred_a = y AND pred_b <> y) AS n01,
+             count(*) FILTER (WHERE pred_a <> y AND pred_b = y) AS n10 FROM tp),
+x AS (SELECT n01, n10, CASE WHEN n01 + n10 = 0 THEN 0.0::DOUBLE
+                            ELSE pow(abs(n01 - n10) - 1.0::DOUBLE, 2) / (n01 + n10)::DOUBLE END AS chi2_cc FROM c)
+SELECT n01::BIGINT AS n01, n10::BIGINT AS n10, round(chi2_cc, 6) AS chi2_cc,
+       round(CASE WHEN n01 + n10 = 0 THEN 1.0::DOUBLE ELSE {_erfc_sql('sqrt(chi2_cc / 2.0::DOUBLE)')} END, 6) AS p_value
+FROM x""")
+def q_mcnemar(spark, d):
+    """STA-3 between the two models on the test split."""
+    return S.mcnemar(_test_preds(spark, d), "y", "pred_a", "pred_b")
+
+
+def _tax_sql():
+    raw = "coalesce(text, '')"
+    pad = f"(' ' || lower({raw}) || ' ')"
+
+    def any_sub(ws):
+        return "(" + " OR ".join(f"contains({pad}, {D.q(w)})" for w in ws) + ")"
+
+    ntok = D.token_count(f"trim(regexp_replace({raw}, {D.q(K.WS_CLASS)}, ' ', 'g'))")
+    punct = f"(length({raw}) - length(regexp_replace({raw}, '[!?.,;:]', '', 'g')))"
+    alpha = f"(length({raw}) - length(regexp_replace({raw}, '\\pL', '', 'g')))"
+    cat = (f"CASE WHEN {ntok} < 3 THEN 'short_text' WHEN {any_sub(K.TAXONOMY_SLANG)} THEN 'slang_or_abbrev' "
+           f"WHEN {any_sub(K.TAXONOMY_NEGATION)} THEN 'negation_pattern' "
+           f"WHEN {any_sub(K.TAXONOMY_CONTRAST)} THEN 'contrast_pattern' "
+           f"WHEN {any_sub(K.TAXONOMY_DOMAIN)} THEN 'domain_issue_term' "
+           f"WHEN {punct} >= greatest(3, floor({alpha} * 0.3)::INT) THEN 'punctuation_heavy' ELSE 'other' END")
+    return _w(RV, SC) + f""",
+e AS (SELECT CASE WHEN y = 0 AND p >= 0.5 THEN 'false_negative_0' WHEN y = 1 AND p < 0.5 THEN 'false_positive_0' END AS error_type,
+             {cat} AS taxonomy_category
+      FROM scored_reviews WHERE split = 'test' AND y IS NOT NULL),
+g AS (SELECT error_type, taxonomy_category, count(*) AS count FROM e WHERE error_type IS NOT NULL GROUP BY 1, 2)
+SELECT error_type, taxonomy_category, count::BIGINT AS count,
+       round(count::DOUBLE / sum(count) OVER (PARTITION BY error_type)::DOUBLE, 6) AS share
+FROM g"""
+
+
+@register("error_taxonomy", _tax_sql)
+def q_error_taxonomy(spark, d):
+    """AGG-18 + RUL-11 + WIN-3: misclassified test rows by taxonomy
+    category, share within error type (window over the small grouped
+    table, partitioned by error type)."""
+    t = _test_preds(spark, d)
+    err = (F.when((F.col("y") == 0) & (F.col("p") >= 0.5), "false_negative_0")
+           .when((F.col("y") == 1) & (F.col("p") < 0.5), "false_positive_0"))
+    e = t.select(err.alias("error_type"), R.taxonomy_category(F.col("text")).alias("taxonomy_category")) \
+        .where(F.col("error_type").isNotNull())
+    g = e.groupBy("error_type", "taxonomy_category").agg(F.count(F.lit(1)).alias("count"))
+    share = F.col("count") / F.sum("count").over(Window.partitionBy("error_type"))
+    return g.select("error_type", "taxonomy_category", "count", F.round(share, 6).alias("share"))

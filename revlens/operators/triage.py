@@ -41,12 +41,23 @@ def overview_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
                   F.count_if(lb == "POSITIVE").alias("positive"))
 
 
-def issue_summary(df: DataFrame, issues_col: str = "issue_labels") -> DataFrame:
-    """AGG-11: per issue label count and mean confidence (3 dp)."""
-    ex = df.select(F.explode(issues_col).alias("r"))
-    return (ex.groupBy(F.col("r.label").alias("label"))
-            .agg(F.count(F.lit(1)).alias("count"),
-                 F.round(F.avg(F.col("r.confidence").cast("double")), 3).alias("avg_confidence")))
+def issue_summary(df: DataFrame, issues_col: str = "issue_labels", labels=K.ISSUE_LABELS) -> DataFrame:
+    """AGG-11: per issue label count and mean confidence (3 dp) of the
+    resolved issue rows.  The label set is fixed, so this is one global
+    aggregate of per-label conditional counts and confidence sums
+    (partial per partition), unpivoted; labels never seen are dropped as
+    a group-by would."""
+    rows = F.col(issues_col)
+    aggs = []
+    for i, lb in enumerate(labels):
+        hit = F.filter(rows, lambda r: r["label"] == F.lit(lb))
+        aggs.append(F.sum(F.size(hit)).alias(f"_n{i}"))
+        aggs.append(F.sum(F.aggregate(hit, F.lit(0.0), lambda a, r: a + r["confidence"].cast("double"))).alias(f"_s{i}"))
+    one = df.agg(*aggs)
+    out = F.array(*[F.struct(F.lit(lb).alias("label"), F.col(f"_n{i}").alias("count"),
+                             F.round(F.try_divide(F.col(f"_s{i}"), F.col(f"_n{i}")), 3).alias("avg_confidence"))
+                    for i, lb in enumerate(labels)])
+    return one.select(F.inline(out)).where(F.col("count") > 0)
 
 
 def issue_mix(df: DataFrame, keys_col: str = "issue_keys", labels=K.ISSUE_LABELS) -> DataFrame:

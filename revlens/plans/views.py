@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..sources.fixtures import reviews, scored_reviews
+from ..sources.tables import fence
 
 
 def stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     casc = R.with_triage_cascade(base)
     rows = R.resolve_issue_labels(F.array().cast(EMPTY_ROWS), F.col("c.issue_tags"))
     staged = casc.select("*", rows.alias("issue_rows"))
-    return staged.select(
+    out = staged.select(
         "review_id", "l_orderkey", "l_partkey", "l_suppkey", "rating", "text", "clean_text", "p", "p2",
         "nnz", "y", "split",
         F.col("c.label").alias("label"), F.col("c.probability").alias("probability"),
@@ -43,3 +44,6 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("issue_count"),
         R.risk_score(F.col("c.label"), F.col("c.probability")).alias("risk_score"),
     )
+    # Consumers filter on the cascade outputs (label, issue rows); the
+    # fence keeps those filters from re-running the cascade.
+    return fence(out, "review_id")

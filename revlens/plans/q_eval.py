@@ -352,11 +352,10 @@ def q_hybrid_routing(spark, d, margin: float = 0.08, cap: float = 0.30):
     micro-F1 of each scorer and of the hybrid."""
     s = issue_scores(spark, d)
     per = s.groupBy("review_id").agg(F.min(F.abs(F.col("score") - 0.5)).alias("m"))
-    stats = per.agg(F.avg((F.col("m") < margin).cast("double")).alias("share"),
-                    F.percentile_approx("m", cap, 10000).alias("q"))
-    routed = per.join(F.broadcast(stats), how="left")  # one-row side
-    routed = routed.select("review_id", F.when(F.col("share") > cap, F.col("m") <= F.col("q"))
-                           .otherwise(F.col("m") < margin).alias("routed"))
+    st = per.agg(F.avg((F.col("m") < margin).cast("double")).alias("share"),
+                 F.percentile_approx("m", cap, 10000).alias("q")).first()  # two scalars
+    rule = (F.col("m") <= F.lit(st["q"])) if st["share"] > cap else (F.col("m") < margin)
+    routed = per.select("review_id", rule.alias("routed"))
     j = s.join(routed, "review_id")
     hy = F.when(F.col("routed"), F.col("score2")).otherwise(F.col("score"))
     rows = F.array(F.struct(F.lit("primary").alias("model"), (F.col("score") >= 0.5).alias("hit")),

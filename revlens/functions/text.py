@@ -22,6 +22,16 @@ def _lit_array(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    An outer expression referenced inside a higher-order-function lambda is
+    re-evaluated on every lambda call; binding it through a one-element
+    array makes per-token look-backs O(n) instead of O(n²) on long texts.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def tokens_ws(c: Column) -> Column:
     """Whitespace tokens of an already cleaned string (no empty tokens)."""
     return F.filter(F.split(c, " "), lambda t: t != F.lit(""))
@@ -62,16 +72,18 @@ def normalize_abbrev(c: Column, mapping=K.ABBREVIATIONS) -> Column:
     pat = abbrev_pattern(mapping)
     lookup = F.create_map(*[x for k, v in mapping for x in (F.lit(k), F.lit(v))])
     pieces = F.split(c, pat, -1)
-    hits = F.regexp_extract_all(c, F.lit(pat), 0)
-    glued = F.transform(
-        pieces,
-        lambda p, i: F.concat(
-            p,
-            F.coalesce(F.try_element_at(lookup, F.try_element_at(hits, i + 1)),
-                       F.try_element_at(hits, i + 1), F.lit("")),
-        ),
-    )
-    return F.array_join(glued, "")
+
+    def glue(hits):
+        return F.array_join(F.transform(
+            pieces,
+            lambda p, i: F.concat(
+                p,
+                F.coalesce(F.try_element_at(lookup, F.try_element_at(hits, i + 1)),
+                           F.try_element_at(hits, i + 1), F.lit("")),
+            ),
+        ), "")
+
+    return let(F.regexp_extract_all(c, F.lit(pat), 0), glue)
 
 
 def _is_boundary(t: Column, boundaries: Sequence[str]) -> Column:
@@ -87,9 +99,12 @@ def negation_tag(c: Column, window: int = K.DEFAULT_NEGATION_WINDOW,
     and is a cue (a cue restarts the count, punctuation zeroes it, every
     other token consumes one slot).  Punctuation tokens are dropped.
     """
-    toks = F.regexp_extract_all(F.lower(c), F.lit(K.TAGGER_TOKEN_PATTERN), 0)
     cue_arr = _lit_array(cues)
+    return let(F.regexp_extract_all(F.lower(c), F.lit(K.TAGGER_TOKEN_PATTERN), 0),
+               lambda toks: _negation_tag_tokens(toks, window, cue_arr))
+
 
+def _negation_tag_tokens(toks: Column, window: int, cue_arr: Column) -> Column:
     def tag(x, i):
         start = F.greatest(F.lit(1), i - F.lit(window) + 1)
         look = F.slice(toks, start, F.least(i, F.lit(window)))

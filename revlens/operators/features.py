@@ -13,11 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens_ws
+from ..functions.text import let, tokens_ws
 
 
 def word_ngrams(tokens: Column, n_max: int = 2) -> Column:
     """FEA-1: unigrams … n_max-grams of a token array (space joined)."""
+    return let(tokens, lambda t: _ngrams(t, n_max))
+
+
+def _ngrams(tokens: Column, n_max: int) -> Column:
     size = F.size(tokens)
     grams = tokens
     for n in range(2, n_max + 1):
@@ -124,8 +128,8 @@ def lm_counts(docs: DataFrame, text_col: str = "clean_text") -> tuple[DataFrame,
     t = docs.select(lm_tokens(F.col(text_col)).alias("t"))
     uni = (t.select(F.explode(F.slice("t", 2, F.size("t") - 1)).alias("w"))
            .groupBy("w").agg(F.count(F.lit(1)).alias("c")))
-    pairs = F.transform(F.sequence(F.lit(2), F.size("t")), lambda i: F.struct(
-        F.element_at("t", i - 1).alias("prev"), F.element_at("t", i).alias("w")))
+    pairs = let(F.col("t"), lambda tt: F.transform(F.sequence(F.lit(2), F.size(tt)), lambda i: F.struct(
+        F.element_at(tt, i - 1).alias("prev"), F.element_at(tt, i).alias("w"))))
     bi = t.select(F.inline(pairs)).groupBy("prev", "w").agg(F.count(F.lit(1)).alias("c"))
     return uni, bi
 

@@ -19,7 +19,9 @@ REVIEW_SCHEMA = "id string, text string, rating double, _corrupt_record string"
 def read_reviews_jsonl(spark: SparkSession, path: str, required=("text", "rating")) -> DataFrame:
     """SRC-1: JSON-lines reviews; raises when a required column is absent
     from the files (checked on a sampled schema of the files themselves)."""
-    found = set(spark.read.option("samplingRatio", 0.01).json(path).columns)
+    found = set(spark.read.option("samplingRatio", 0.01).json(path).columns) - {"_corrupt_record"}
+    if not found:  # sample too small to see a row: read the schema from all rows
+        found = set(spark.read.json(path).columns)
     missing = [c for c in required if c not in found]
     if missing:
         raise ValueError(f"Expected columns {sorted(required)}, found {sorted(found)}")
@@ -43,7 +45,9 @@ def read_batches(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
     df = (spark.read.option("header", True).option("pathGlobFilter", pattern).csv(folder)
           .select("*", F.col("_metadata.file_name").alias("source_file"),
                   F.col("_metadata.file_modification_time").alias("source_mtime"),
-                  F.col("_metadata.row_index").alias("row_order")))
+                  # position in read order: split start, then row within the split
+                  F.struct(F.col("_metadata.file_block_start").alias("block"),
+                           F.monotonically_increasing_id().alias("row")).alias("row_order")))
     if "id" not in df.columns:
         return df.limit(0)
     return df.where(F.col("id").isNotNull())

@@ -245,3 +245,13 @@ TAXONOMY_NEGATION = [" not ", " no ", " never ", " cannot ", " can't ", " dont "
 TAXONOMY_CONTRAST = [" but ", " however ", " although ", " though ", " yet "]
 TAXONOMY_DOMAIN = [" redeem", " code", " refund", " return", " delivery", " shipping", " support",
                    " scam", " fraud"]
+
+# Short-text guard: sentiment indicator substrings (natural order).
+SENTIMENT_INDICATORS = [
+    "good", "bad", "great", "terrible", "excellent", "awful", "amazing",
+    "horrible", "wonderful", "poor", "best", "worst", "love", "hate",
+    "like", "nice", "fine", "okay", "ok", "perfect", "not",
+    "disappointed", "happy", "satisfied", "recommend", "broken",
+    "fast", "slow", "cheap", "expensive", "worth", "useless", "useful",
+    "waste", "awesome", "sucks", "fantastic", "mediocre", "average",
+]

@@ -21,4 +21,4 @@ def register(name: str, oracle: Callable[[], str] | None = None):
 
 def load_all() -> None:
     from . import (q_eval, q_features, q_labels, q_models, q_reviews,  # noqa: F401
-                   q_stats, q_streams)
+                   q_reports, q_stats, q_streams)

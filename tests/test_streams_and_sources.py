@@ -85,3 +85,18 @@ def test_jsonl_required_columns(spark):
         raise AssertionError("expected a missing-column error")
     except ValueError:
         pass
+
+
+def test_latest_labels_stream_matches_batch(spark, sf_small):
+    d = _scratch()
+    lb = label_batches(spark, sf_small).select("review_id", "source_mtime", "row_order", "delivery_shipping")
+    src = os.path.join(d, "in")
+    lb.select(F.col("review_id").alias("id"), F.date_format("source_mtime", "yyyy-MM-dd HH:mm:ss").alias("source_mtime"),
+              "row_order", "delivery_shipping").coalesce(2).write.option("header", True).csv(src)
+    schema = "id string, source_mtime string, row_order long, delivery_shipping string"
+    out = os.path.join(d, "out")
+    ST.latest_labels_stream(spark, src, schema, out, os.path.join(d, "ckpt"))
+    got = {(r["id"], str(r["source_mtime"])[:19]) for r in ST.latest_labels(spark.read.parquet(out)).collect()}
+    want = lb.groupBy("review_id").agg(F.max("source_mtime").alias("m"))
+    want = {(r["review_id"], str(r["m"])[:19]) for r in want.collect()}
+    assert got == want

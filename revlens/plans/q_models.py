@@ -52,3 +52,53 @@ def q_sentiment_models(spark, d):
     scored = allp.where(F.col("split") != "train").select("model", "split", F.col("label").cast("int").alias("y"),
                                                           F.col("pred").alias("prob"))
     return M.binary_metrics(scored).orderBy(F.col("recall_0").desc_nulls_last(), "model", "split")
+
+
+@register("ovr_issue_models")
+def q_ovr_issue_models(spark, d, num_features: int = 1 << 12):
+    """MOD-10 (+ MET-4): one binary logistic regression per issue label on
+    a shared hashed-feature frame (a constant label gets a constant
+    predictor); micro/macro F1 of the per-label predictions on the test
+    split.  ``OneVsRest`` is single-label, so the fits are separate."""
+    from ..functions.constants import ISSUE_LABELS
+    from ..sources.fixtures import issue_scores
+    v = vectors(spark, d, num_features).select("review_id", "split", "features")
+    truth = issue_scores(spark, d).select("review_id", "label", "truth")
+    wide = truth.groupBy("review_id").pivot("label", ISSUE_LABELS).agg(F.max("truth"))  # fixed label set
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)  # the cluster's shared folder (set only when unset)
+    # nine fits read the same frame: cut the lineage once (reliable
+    # checkpoint on shared storage, survives executor loss)
+    frame = v.join(wide, "review_id").checkpoint()
+    preds = []
+    for lb in ISSUE_LABELS:
+        train = frame.where(F.col("split") == "train").select("features", F.col(lb).cast("double").alias("label"))
+        classes = [r[0] for r in train.select("label").distinct().collect()]  # ≤ 2 values
+        if len(classes) < 2:
+            p = frame.select("review_id", "split", F.lit(lb).alias("label"), F.lit(classes[0] if classes else 0.0).alias("pred"))
+        else:
+            m = LogisticRegression(maxIter=30, regParam=1e-3).fit(train)
+            p = m.transform(frame).select("review_id", "split", F.lit(lb).alias("label"), F.col("prediction").alias("pred"))
+        preds.append(p)
+    allp = preds[0]
+    for p in preds[1:]:
+        allp = allp.unionByName(p)
+    j = allp.where(F.col("split") == "test").join(truth, ["review_id", "label"])
+    return M.multilabel_metrics(j.withColumn("model", F.lit("ovr_lr")), F.col("pred") == 1.0)
+
+
+@register("tree_models")
+def q_tree_models(spark, d):
+    """MOD-6: decision tree and a small random forest on the hashed review
+    features, MET-1 rows on the test split."""
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+    v = vectors(spark, d, 1 << 10)
+    train = v.where(F.col("split") == "train")
+    out = []
+    for name, est in (("decision_tree", DecisionTreeClassifier(maxDepth=10)),
+                      ("random_forest", RandomForestClassifier(numTrees=20, maxDepth=8, featureSubsetStrategy="sqrt",
+                                                               seed=42))):
+        m = est.fit(train)
+        out.append(m.transform(v.where(F.col("split") == "test")).select(
+            F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob")))
+    return M.binary_metrics(out[0].unionByName(out[1]))

@@ -410,3 +410,28 @@ def q_queue_priority(spark, d):
     ct = T.clean_text(F.col("text"))
     return s.select("review_id", "label", "stage1_prob",
                     R.queue_priority(ct, F.col("label"), F.col("stage1_prob")).alias("queue_priority"))
+
+
+@register("issue_attachment", lambda: _w(RV, SC, PR) + """
+SELECT CASE WHEN label IN ('NEGATIVE', 'NEEDS_ATTENTION') THEN 'missing' ELSE 'not_applicable' END AS issue_model_status,
+       label, count(*)::BIGINT AS n, sum(issue_count)::BIGINT AS issues
+FROM predictions GROUP BY 1, 2""")
+def q_issue_attachment(spark, d):
+    """RUL-8: issue-model status per cascade label (no trained issue model
+    in the batch path → ``missing`` for flagged rows) with issue counts."""
+    p = predictions(spark, d)
+    st = R.issue_attachment_status(F.col("label"), model_trained=False)
+    return p.groupBy(st.alias("issue_model_status"), "label").agg(F.count(F.lit(1)).alias("n"),
+                                                                  F.sum("issue_count").alias("issues"))
+
+
+@register("model_stage1_distribution", lambda: _dist_sql((RV, SC), "m1s").replace(
+    "c AS (SELECT label", "m1s AS (SELECT CASE WHEN p <= 0.40 THEN 'NEGATIVE' WHEN " + D.keyword_hit("text", [
+        p for _, ps in K.ISSUE_KEYWORDS for p in ps]) + " THEN 'NEEDS_ATTENTION' WHEN p >= 0.60 THEN 'POSITIVE' "
+    "ELSE 'UNCERTAIN' END AS label FROM scored_reviews),\nc AS (SELECT label", 1))
+def q_model_stage1_distribution(spark, d):
+    """RUL-14: stage-1 labels from a model probability and the raw-text
+    complaint signal, as a zero-filled distribution."""
+    from ..sources.fixtures import scored_reviews
+    sr = scored_reviews(spark, d).withColumn("_cmp", R.complaint_signal(F.col("text")))
+    return TR.label_distribution(sr.select(R.stage1_from_model(F.col("p"), F.col("_cmp")).alias("label")))

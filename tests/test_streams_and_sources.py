@@ -100,3 +100,15 @@ def test_latest_labels_stream_matches_batch(spark, sf_small):
     want = lb.groupBy("review_id").agg(F.max("source_mtime").alias("m"))
     want = {(r["review_id"], str(r["m"])[:19]) for r in want.collect()}
     assert got == want
+
+
+def test_score_stream_equals_batch(spark, sf_small):
+    from revlens.sources.fixtures import scored_reviews
+    d = _scratch()
+    src = os.path.join(d, "in")
+    sr = scored_reviews(spark, sf_small).select("review_id", "rating", "text", "clean_text", "p", "nnz")
+    sr.withColumn("p", F.when(F.col("review_id").endswith("7"), F.lit(None)).otherwise(F.col("p"))).write.parquet(src)
+    ST.score_stream(spark, src, os.path.join(d, "out"), os.path.join(d, "ckpt"))
+    got = {tuple(r) for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    want = {tuple(r) for r in ST.score_rows(spark.read.parquet(src)).collect()}
+    assert got == want and len(got) > 0

@@ -310,3 +310,21 @@ def q_vocab_encoding(spark, d, vocab: int = 200, length: int = 16):
     ids = F.transform(F.slice("tk", 1, length), lambda x: F.coalesce(F.try_element_at(m, x), F.lit(1)))
     padded = F.concat(ids, F.array_repeat(F.lit(0), F.greatest(F.lit(0), F.lit(length) - F.size(ids))))
     return rv.select("review_id", F.array_join(padded, ",").alias("encoded"))
+
+
+@register("model_deltas", lambda: _binary_sql().replace("\nSELECT model, split, (tp1", "\n, bm AS (SELECT model, split, (tp1", 1)
+          .replace("f1_1\nFROM c", "f1_1\nFROM c)", 1) + """
+SELECT model, recall_0, f2_0, round(recall_0 - max(recall_0) OVER (), 6) AS delta_recall_0,
+       round(f2_0 - max(f2_0) OVER (), 6) AS delta_f2_0,
+       recall_0 = max(recall_0) OVER () AS is_best
+FROM bm WHERE split = 'test'""")
+def q_model_deltas(spark, d):
+    """SET-3: test-split metrics of each model next to the best one
+    (deltas from a window over the few model rows)."""
+    from pyspark.sql import Window
+    bm = M.binary_metrics(_long(spark, d)).where(F.col("split") == "test")
+    w = Window.partitionBy()
+    return bm.select("model", "recall_0", "f2_0",
+                     F.round(F.col("recall_0") - F.max("recall_0").over(w), 6).alias("delta_recall_0"),
+                     F.round(F.col("f2_0") - F.max("f2_0").over(w), 6).alias("delta_f2_0"),
+                     (F.col("recall_0") == F.max("recall_0").over(w)).alias("is_best"))

@@ -171,13 +171,16 @@ def with_triage_cascade(df, text: str = "text", p: str = "p", nnz: str = "nnz",
     num = F.regexp_extract(F.col("_tc"), RATIO_RE, 1).try_cast("double")
     den = F.regexp_extract(F.col("_tc"), RATIO_RE, 2).try_cast("double")
     decision, reason = abstain_decision(pc, F.col(clean), F.col(nnz), lo, hi, min_nnz)
+    st = st.withColumn(
+        "_cmp", real_complaint(F.col("_tl"), all_complaint_words()) & ~slang_positive(F.col("_tl")))
+    # the seven per-group scans only matter for rows with a complaint
+    groups = F.filter(F.array(*[F.when(real_complaint(F.col("_tl"), ws), F.lit(g)) for g, ws in K.COMPLAINT_GROUPS]),
+                      lambda x: x.isNotNull())
     st = st.select(
         "*",
-        (real_complaint(F.col("_tl"), all_complaint_words()) & ~slang_positive(F.col("_tl"))).alias("_cmp"),
         contrast_substring(F.col("_tl")).alias("_ctr"),
         complaint_count(F.col("_tl")).alias("_ncw"),
-        F.filter(F.array(*[F.when(real_complaint(F.col("_tl"), ws), F.lit(g)) for g, ws in K.COMPLAINT_GROUPS]),
-                 lambda x: x.isNotNull()).alias("_grp0"),
+        F.when(F.col("_cmp"), groups).otherwise(F.array().cast("array<string>")).alias("_grp0"),
         F.col("_tc").rlike(RATIO_RE).alias("_isratio"),
         F.when(den > 0, num / den).otherwise(F.lit(0.5)).alias("_ratio"),
         decision.alias("_dec"), reason.alias("_why"))

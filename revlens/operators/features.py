@@ -54,6 +54,9 @@ def tfidf(docs: DataFrame, text_col: str = "clean_text", id_col: str = "doc_id",
     tf = term_counts(docs, text_col, id_col, n_max)
     n_docs = docs.select(id_col).distinct().count()  # one scalar to the driver
     voc = vocabulary(tf, n_docs, min_df, max_df, max_features, id_col)
+    if min_df > 1 and voc.isEmpty():
+        # FEA-4: an empty vocabulary at min_df falls back to min_df = 1
+        voc = vocabulary(tf, n_docs, 1, max_df, max_features, id_col)
     j = tf.join(F.broadcast(voc.select("term", "idf")), "term")  # ≤ max_features rows
     w = j.select(id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))

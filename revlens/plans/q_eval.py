@@ -11,7 +11,7 @@ from ..functions import constants as K
 from ..functions import rules as R
 from ..operators import metrics as M
 from ..operators import stats as S
-from ..sources.fixtures import issue_scores, scored_reviews
+from ..sources.fixtures import issue_scores, scored_reviews, u
 from . import duck as D
 from .registry import register
 
@@ -493,3 +493,17 @@ def q_error_taxonomy(spark, d):
     g = e.groupBy("error_type", "taxonomy_category").agg(F.count(F.lit(1)).alias("count"))
     share = F.col("count") / F.sum("count").over(Window.partitionBy("error_type"))
     return g.select("error_type", "taxonomy_category", "count", F.round(share, 6).alias("share"))
+
+
+@register("exact_split_sizes")
+def q_exact_split_sizes(spark, d, fractions=(0.7, 0.8)):
+    """SPL-2: stratified split with per-class cut-offs taken from the
+    approximate quantiles of the row hash (one small aggregate per class,
+    broadcast back), so split sizes track the requested fractions without
+    a global ``row_number``; rows-only (approximate quantiles)."""
+    sr = scored_reviews(spark, d).where(F.col("y").isNotNull()).select("review_id", "y")
+    hu = u("xsplit", F.col("review_id"))
+    cuts = sr.groupBy("y").agg(F.percentile_approx(hu, list(fractions), 100000).alias("q"))  # one row per class
+    j = sr.withColumn("h", hu).join(F.broadcast(cuts), "y")
+    sp = F.when(F.col("h") < F.col("q")[0], "train").when(F.col("h") < F.col("q")[1], "val").otherwise("test")
+    return j.groupBy("y", sp.alias("split")).agg(F.count(F.lit(1)).alias("n"))

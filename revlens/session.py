@@ -27,6 +27,12 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("REVLENS_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The text operators fuse into large whole-stage methods; HotSpot
+        # leaves methods over 8 000 bytecode bytes uncompiled by default,
+        # which runs them interpreted.  Compile them and keep the fusion.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.sql.codegen.hugeMethodLimit", "65535")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -102,3 +102,65 @@ def q_tree_models(spark, d):
         out.append(m.transform(v.where(F.col("split") == "test")).select(
             F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob")))
     return M.binary_metrics(out[0].unionByName(out[1]))
+
+
+@register("l1_sparsity")
+def q_l1_sparsity(spark, d, reg: float = 1e-3):
+    """MOD-2 (+ MOD-1 with L1): logistic regression with an L1 penalty,
+    balanced class weights; non-zero coefficients and test recall_0."""
+    v = vectors(spark, d)
+    train = v.where(F.col("split") == "train")
+    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}  # two scalars
+    n = sum(counts.values())
+    tw = train.withColumn("w", F.when(F.col("label") == 0.0, n / (2.0 * counts[0.0])).otherwise(n / (2.0 * counts[1.0])))
+    m = LogisticRegression(weightCol="w", regParam=reg, elasticNetParam=1.0, maxIter=100, standardization=False).fit(tw)
+    nnz = int(m.coefficients.numNonzeros())
+    test = m.transform(v.where(F.col("split") == "test")).select(
+        F.lit("lr_l1_balanced").alias("model"), "split", F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob"))
+    return M.binary_metrics(test).select("model", F.lit(nnz).alias("nonzero_weights"), "recall_0", "precision_0", "f2_0")
+
+
+@register("calibration")
+def q_calibration(spark, d):
+    """MOD-11: Platt scaling (1-feature logistic regression on the margin)
+    and isotonic regression, both fitted on the validation split of an LR
+    trained on train; Brier score on test before and after."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import IsotonicRegression
+    v = vectors(spark, d)
+    base = LogisticRegression(maxIter=50, regParam=1e-3).fit(v.where(F.col("split") == "train"))
+    scored = base.transform(v.where(F.col("split") != "train")).select(
+        "split", "label", vector_to_array("rawPrediction")[1].alias("margin"),
+        vector_to_array("probability")[1].alias("p_raw"))
+    feats = VectorAssembler(inputCols=["margin"], outputCol="mf").transform(scored)
+    val = feats.where(F.col("split") == "val")
+    platt = LogisticRegression(featuresCol="mf", maxIter=50, regParam=0.0).fit(val)
+    iso = IsotonicRegression(featuresCol="mf", labelCol="label", predictionCol="p_iso").fit(val)
+    test = feats.where(F.col("split") == "test")
+    out = iso.transform(platt.transform(test).withColumn("p_platt", vector_to_array("probability")[1]))
+    sq = lambda c: F.pow(F.col(c) - F.col("label"), 2)
+    return out.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(sq("p_raw")), 6).alias("brier_raw"),
+                   F.round(F.avg(sq("p_platt")), 6).alias("brier_platt"), F.round(F.avg(sq("p_iso")), 6).alias("brier_isotonic"))
+
+
+@register("svd_mlp")
+def q_svd_mlp(spark, d, dims: int = 32):
+    """FEA-9 + MOD-9: project hashed review features onto ``dims``
+    principal components (distributed Gramian, dims × features result),
+    then fit a feed-forward network and an LR on the projection; MET-1
+    rows on the test split."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import PCA
+    v = vectors(spark, d, 1 << 10)
+    train = v.where(F.col("split") == "train")
+    pca = PCA(k=dims, inputCol="features", outputCol="z").fit(train)
+    z = pca.transform(v).select("split", "label", F.col("z").alias("features"))
+    ztrain = z.where(F.col("split") == "train")
+    mlp = MultilayerPerceptronClassifier(layers=[dims, 32, 16, 2], maxIter=50, seed=42).fit(ztrain)
+    lr = LogisticRegression(maxIter=50, regParam=1e-3).fit(ztrain)
+    test = z.where(F.col("split") == "test")
+    out = [m.transform(test).select(F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"),
+                                    F.col("prediction").alias("prob"))
+           for name, m in (("svd_mlp", mlp), ("svd_lr", lr))]
+    return M.binary_metrics(out[0].unionByName(out[1]))

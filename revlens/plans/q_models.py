@@ -164,3 +164,48 @@ def q_svd_mlp(spark, d, dims: int = 32):
                                     F.col("prediction").alias("prob"))
            for name, m in (("svd_mlp", mlp), ("svd_lr", lr))]
     return M.binary_metrics(out[0].unionByName(out[1]))
+
+
+@register("chi2_weight_grid")
+def q_chi2_weight_grid(spark, d, ks=(25, 50, 100), weights=("none", "balanced", "w5")):
+    """MOD-3/MOD-5: rank review terms once by chi-square against the
+    strong label (relational FEA-7), then for each k a fixed-vocabulary
+    count vectorizer (k ≤ 100 terms, inlined) and one weighted LR per
+    class-weight scheme; validation metrics per (k, weight) and the
+    chosen row by (recall_0, f2_0, precision_0, −k)."""
+    from pyspark.ml.feature import CountVectorizerModel
+    from ..functions.text import tokens_ws as tws
+    from ..operators import features as FE
+    sr = scored_reviews(spark, d).where(F.col("y").isNotNull())
+    docs = sr.select(F.col("review_id").alias("doc_id"), "clean_text", "y", "split")
+    train = docs.where(F.col("split") == "train")
+    w, _ = FE.tfidf(train.select("doc_id", "clean_text"), n_max=1)
+    ranked = (FE.chi2_scores(w, train.select("doc_id", "y"))
+              .orderBy(F.col("chi2").desc(), F.col("term").asc()).limit(max(ks)).collect())  # ≤ max(ks) terms
+    terms = [r["term"] for r in ranked]
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    base = docs.select("split", F.col("y").cast("double").alias("label"),
+                       tws(F.col("clean_text")).alias("tokens")).checkpoint()  # shared by all fits
+    counts = {r["label"]: r["count"] for r in base.where(F.col("split") == "train").groupBy("label").count().collect()}
+    n = sum(counts.values())
+    scheme = {"none": (1.0, 1.0), "balanced": (n / (2.0 * counts[0.0]), n / (2.0 * counts[1.0])), "w5": (5.0, 1.0)}
+    rows = []
+    for k in ks:
+        vec = CountVectorizerModel.from_vocabulary(terms[:k], inputCol="tokens", outputCol="features").transform(base)
+        tr = vec.where(F.col("split") == "train")
+        for name in weights:
+            w0, w1 = scheme[name]
+            m = LogisticRegression(weightCol="w", maxIter=50, regParam=1e-3, standardization=False).fit(
+                tr.withColumn("w", F.when(F.col("label") == 0.0, w0).otherwise(w1)))
+            rows.append(m.transform(vec.where(F.col("split") == "val")).select(
+                F.lit(k).alias("k"), F.lit(name).alias("class_weight"), F.lit("lr").alias("model"), "split",
+                F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob")))
+    allr = rows[0]
+    for r in rows[1:]:
+        allr = allr.unionByName(r)
+    met = M.binary_metrics(allr, by=("k", "class_weight", "model", "split"))
+    key = F.struct("recall_0", "f2_0", "precision_0", (-F.col("k")).alias("nk"))
+    best = met.agg(F.max_by(F.struct("k", "class_weight"), key).alias("b")).first()["b"]  # two scalars
+    return met.select("k", "class_weight", "recall_0", "precision_0", "f2_0",
+                      ((F.col("k") == best["k"]) & (F.col("class_weight") == best["class_weight"])).alias("chosen"))

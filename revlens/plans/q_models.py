@@ -209,3 +209,81 @@ def q_chi2_weight_grid(spark, d, ks=(25, 50, 100), weights=("none", "balanced",
     best = met.agg(F.max_by(F.struct("k", "class_weight"), key).alias("b")).first()["b"]  # two scalars
     return met.select("k", "class_weight", "recall_0", "precision_0", "f2_0",
                       ((F.col("k") == best["k"]) & (F.col("class_weight") == best["class_weight"])).alias("chosen"))
+
+
+# FIXED VALUES: feature variants V0..V7 (word n-gram range and blocks).
+VARIANTS = [
+    ("V0", 2, False, False, False, False),
+    ("V1", 3, False, False, False, False),
+    ("V2", 2, True, False, False, False),
+    ("V3", 2, False, True, False, False),
+    ("V4", 2, True, True, False, False),
+    ("V5", 2, False, False, True, False),
+    ("V6", 2, True, False, True, False),
+    ("V7", 2, True, False, False, True),
+]
+
+
+@register("variant_sweep")
+def q_variant_sweep(spark, d, num_features: int = 1 << 12):
+    """MOD-4: the eight context-feature variants (word n-grams, negation
+    tags, clause split with contrast flags, character 3-5-grams, six
+    lexicon features), one balanced-weight LR per variant fitted on train,
+    MET-1 rows on validation.  Every block column is built once into a
+    checkpointed frame shared by the eight fits."""
+    from pyspark.ml.feature import HashingTF, VectorAssembler
+    from ..functions import lexicon as L
+    from ..functions import text as T
+    from ..operators.features import word_ngrams
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    sr = scored_reviews(spark, d).where(F.col("y").isNotNull())
+    plain = F.col("clean_text")
+    neg = T.clean_text(F.col("text"), negation=True)
+    sp = T.contrast_split(plain)
+    n = F.length(plain)
+    starts = F.sequence(F.lit(0), F.greatest(n * 3 - 1, F.lit(0)))
+    chars = F.transform(F.filter(F.transform(starts, lambda j: F.struct(
+        F.substring(plain, (F.floor(j / 3) + 1).cast("int"), (j % 3 + 3).cast("int")).alias("g"),
+        (F.floor(j / 3) + j % 3 + 3 <= n).alias("ok"))), lambda x: x["ok"] & (n > 0)), lambda x: x["g"])
+    base = sr.select(
+        "split", F.col("y").cast("double").alias("label"),
+        word_ngrams(tokens_ws(plain), 2).alias("w12"), word_ngrams(tokens_ws(plain), 3).alias("w13"),
+        word_ngrams(tokens_ws(neg), 2).alias("n12"),
+        F.transform(word_ngrams(tokens_ws(sp["left"]), 2), lambda t: F.concat(F.lit("L_"), t)).alias("left12"),
+        F.transform(word_ngrams(tokens_ws(sp["right"]), 2), lambda t: F.concat(F.lit("R_"), t)).alias("right12"),
+        F.array(*[c.cast("double") for c in T.contrast_flags(plain)]).alias("flags"),
+        chars.alias("c35"), F.array(*L.sentiment_features(F.col("text"))).alias("lex")).checkpoint()
+    counts = {r["label"]: r["count"] for r in base.where(F.col("split") == "train").groupBy("label").count().collect()}
+    tot = sum(counts.values())
+    w0, w1 = tot / (2.0 * counts[0.0]), tot / (2.0 * counts[1.0])
+    from pyspark.ml.functions import array_to_vector
+    frame = base.select("*", array_to_vector("flags").alias("flags_v"), array_to_vector("lex").alias("lex_v"),
+                        F.when(F.col("label") == 0.0, w0).otherwise(w1).alias("w"))
+    rows = []
+    for name, hi, use_neg, use_clause, use_char, use_lex in VARIANTS:
+        cols = []
+        stages = frame
+        if use_clause:
+            for c in ("left12", "right12"):
+                stages = HashingTF(inputCol=c, outputCol=f"h_{c}", numFeatures=num_features).transform(stages)
+                cols.append(f"h_{c}")
+            cols.append("flags_v")
+        else:
+            src = "n12" if use_neg else ("w13" if hi == 3 else "w12")
+            stages = HashingTF(inputCol=src, outputCol="h_word", numFeatures=num_features).transform(stages)
+            cols.append("h_word")
+        if use_char:
+            stages = HashingTF(inputCol="c35", outputCol="h_char", numFeatures=num_features).transform(stages)
+            cols.append("h_char")
+        if use_lex:
+            cols.append("lex_v")
+        feats = VectorAssembler(inputCols=cols, outputCol="features").transform(stages)
+        m = LogisticRegression(weightCol="w", maxIter=50, regParam=1e-3, standardization=False).fit(
+            feats.where(F.col("split") == "train"))
+        rows.append(m.transform(feats.where(F.col("split") == "val")).select(
+            F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob")))
+    allr = rows[0]
+    for r in rows[1:]:
+        allr = allr.unionByName(r)
+    return M.binary_metrics(allr)

@@ -124,3 +124,13 @@ def with_playbook(df: DataFrame, primary: Column, norm_risk: Column) -> DataFram
         F.coalesce(F.col("owner"), F.lit(K.PLAYBOOK_DEFAULT[0])).alias("owner"),
         F.coalesce(F.col("outcome"), F.lit(K.PLAYBOOK_DEFAULT[1])).alias("outcome"),
         sla(norm_risk).alias("sla"))
+
+
+def prepend_manual(batch: DataFrame, manual: DataFrame, n: int = 80, order_col: str = "arrival") -> DataFrame:
+    """TOP-8: put newly submitted reviews in front of the current batch
+    (newest first) and cut the union to ``n`` rows; both inputs carry an
+    ``arrival`` ordering column, manual rows rank before batch rows."""
+    m = manual.withColumn("_src", F.lit(0))
+    b = batch.withColumn("_src", F.lit(1))
+    u = m.unionByName(b, allowMissingColumns=True)
+    return u.orderBy(F.col("_src").asc(), F.col(order_col).desc()).limit(n).drop("_src")

@@ -225,12 +225,13 @@ VARIANTS = [
 
 
 @register("variant_sweep")
-def q_variant_sweep(spark, d, num_features: int = 1 << 12):
+def q_variant_sweep(spark, d, num_features: int = 1 << 12, variants=None):
     """MOD-4: the eight context-feature variants (word n-grams, negation
     tags, clause split with contrast flags, character 3-5-grams, six
     lexicon features), one balanced-weight LR per variant fitted on train,
     MET-1 rows on validation.  Every block column is built once into a
-    checkpointed frame shared by the eight fits."""
+    checkpointed frame shared by the eight fits.  ``variants`` picks a
+    subset (MOD-16 ablation: ``["V0", "V2", "V5", "V6", "V7"]``)."""
     from pyspark.ml.feature import HashingTF, VectorAssembler
     from ..functions import lexicon as L
     from ..functions import text as T
@@ -262,6 +263,8 @@ def q_variant_sweep(spark, d, num_features: int = 1 << 12):
                         F.when(F.col("label") == 0.0, w0).otherwise(w1).alias("w"))
     rows = []
     for name, hi, use_neg, use_clause, use_char, use_lex in VARIANTS:
+        if variants and name not in variants:
+            continue
         cols = []
         stages = frame
         if use_clause:

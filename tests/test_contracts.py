@@ -62,3 +62,10 @@ def test_risk_score_values(spark):
     df = spark.createDataFrame([("NEGATIVE", 0.2), ("UNCERTAIN", None), ("POSITIVE", 1.0)], "l string, p double")
     got = [r[0] for r in df.select(R.risk_score(F.col("l"), F.col("p"))).collect()]
     assert got == [416.0, 210.0, 105.0]
+
+
+def test_prepend_manual_review(spark):
+    batch = spark.createDataFrame([(f"b{i}", i) for i in range(100)], "id string, arrival long")
+    manual = spark.createDataFrame([("m1", 5), ("m2", 7)], "id string, arrival long")
+    out = [r["id"] for r in TR.prepend_manual(batch, manual, 80).collect()]
+    assert len(out) == 80 and out[:2] == ["m2", "m1"] and out[2] == "b99"

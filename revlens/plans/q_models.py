@@ -290,3 +290,45 @@ def q_variant_sweep(spark, d, num_features: int = 1 << 12, variants=None):
     for r in rows[1:]:
         allr = allr.unionByName(r)
     return M.binary_metrics(allr)
+
+
+@register("labelwise_class_weights")
+def q_labelwise_class_weights(spark, d, num_features: int = 1 << 12, schemes=("none", "balanced")):
+    """MOD-12: per issue label, fit one LR per class-weight scheme on train
+    and keep the scheme with the best (F2, recall, precision) on
+    validation; one shared checkpointed frame, the choice reduced with
+    ``max_by`` per label."""
+    from ..functions.constants import ISSUE_LABELS
+    from ..sources.fixtures import issue_scores
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    v = vectors(spark, d, num_features).select("review_id", "split", "features")
+    wide = issue_scores(spark, d).groupBy("review_id").pivot("label", ISSUE_LABELS).agg(F.max("truth"))
+    frame = v.join(wide, "review_id").where(F.col("split").isin("train", "val")).checkpoint()
+    rows = []
+    for lb in ISSUE_LABELS:
+        tr = frame.where(F.col("split") == "train").select("features", F.col(lb).cast("double").alias("label"))
+        counts = {r["label"]: r["count"] for r in tr.groupBy("label").count().collect()}  # ≤ 2 scalars
+        if len(counts) < 2:
+            continue
+        n = sum(counts.values())
+        for sc in schemes:
+            w0, w1 = (1.0, 1.0) if sc == "none" else (n / (2.0 * counts[0.0]), n / (2.0 * counts[1.0]))
+            m = LogisticRegression(weightCol="w", maxIter=30, regParam=1e-3).fit(
+                tr.withColumn("w", F.when(F.col("label") == 0.0, w0).otherwise(w1)))
+            val = m.transform(frame.where(F.col("split") == "val").select(
+                "features", F.col(lb).cast("double").alias("label")))
+            t, p = F.col("label"), F.col("prediction")
+            rows.append(val.agg(F.lit(lb).alias("issue"), F.lit(sc).alias("class_weight"),
+                                F.count_if((t == 1) & (p == 1)).alias("tp"), F.count_if((t == 0) & (p == 1)).alias("fp"),
+                                F.count_if((t == 1) & (p == 0)).alias("fn")))
+    allr = rows[0]
+    for r in rows[1:]:
+        allr = allr.unionByName(r)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    met = allr.select("issue", "class_weight", M._ratio(5 * tp, 5 * tp + 4 * fn + fp).alias("f2"),
+                      M._ratio(tp, tp + fn).alias("recall"), M._ratio(tp, tp + fp).alias("precision"))
+    best = met.groupBy("issue").agg(F.max_by(F.struct("class_weight", "f2", "recall", "precision"),
+                                             F.struct("f2", "recall", "precision")).alias("b"))
+    return best.select("issue", "b.class_weight", F.round("b.f2", 6).alias("f2"), F.round("b.recall", 6).alias("recall"),
+                       F.round("b.precision", 6).alias("precision"))

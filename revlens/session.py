@@ -40,11 +40,17 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    A scratch folder stands in only on a local master (tests), where driver
+    and tasks are one process; elsewhere executors could not read it, so an
+    unset folder is an error."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="revlens-ckpt-", dir=os.environ.get("REVLENS_SCRATCH", "/tmp"))
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +27,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def column(df: DataFrame, name: str):
-    """Column ``name`` of ``df``, safe against clashing names elsewhere."""
-    return df[name]
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that
+    tasks import it wherever the driver was started."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if root.is_dir() and not getattr(sc, "_revlens_shipped", False):
+        made = shutil.make_archive(f"{tempfile.mkdtemp()}/{root.name}", "zip", root_dir=root.parent, base_dir=root.name)
+        sc.addPyFile(made)
+        sc._revlens_shipped = True

@@ -6,15 +6,47 @@ the DuckDB twin of those that SQL can express.
 
 from __future__ import annotations
 
-from . import sharding
+from pyspark.sql import functions as F
+
+from . import packing, pii, sharding, token_counts, url_filter
 from .common import table
 
+PII_KEY = "revlens.pii.key"  # session setting that holds the pseudonym key
+
+
+def pii_key(spark) -> str:
+    return spark.conf.get(PII_KEY, "documented default key")
+
 
 def op2_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n = F.col("pii_counts")
+    return pii.pseudonymise(docs, pii_key(spark)).select(
+        "doc_id", "text", *[F.coalesce(n[k], F.lit(0)).alias(f"n_{k}") for k in pii.KINDS])
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.as_of(url_filter.page_captures(pages), url_filter.page_list(pages))
+
+
+def op10_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), packing.vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op4_pii": op4_pii,
+    "op7_packing": op7_packing,
+    "op9_url_filter": op9_url_filter,
+    "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op9_url_filter": url_filter.SQL}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import packing, pii, sharding, token_counts, url_filter
+from . import lang_id, license_scan, packing, pii, sharding, token_counts, url_filter
 from .common import table
 
 PII_KEY = "revlens.pii.key"  # session setting that holds the pseudonym key
@@ -22,6 +22,13 @@ def op2_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark, sf_dir):
+    docs, made = lang_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return (docs.select("doc_id", lang_id.held_out(docs["doc_id"]).alias("held_out"), made.alias("m"))
+            .select("doc_id", "held_out", "m.lang_pred", "m.score", F.map_keys("m.languages").alias("languages"),
+                    F.map_values("m.languages").alias("proportions")))
+
+
 def op4_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n = F.col("pii_counts")
@@ -29,6 +36,10 @@ def op4_pii(spark, sf_dir):
         "doc_id", "text", *[F.coalesce(n[k], F.lit(0)).alias(f"n_{k}") for k in pii.KINDS])
 
 
+def op5_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -44,7 +55,9 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_language": op3_language,
     "op4_pii": op4_pii,
+    "op5_license_scan": op5_license_scan,
     "op7_packing": op7_packing,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lang_id, license_scan, packing, pii, sharding, token_counts, url_filter
+from . import ann, lang_id, license_scan, packing, pii, sharding, token_counts, url_filter
 from .common import table
 
 PII_KEY = "revlens.pii.key"  # session setting that holds the pseudonym key
@@ -18,6 +18,11 @@ def pii_key(spark) -> str:
     return spark.conf.get(PII_KEY, "documented default key")
 
 
+def op1_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors["vec_id"] % 100 == 0)
+
+
 def op2_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_sharding": op2_sharding,
     "op3_language": op3_language,
     "op4_pii": op4_pii,

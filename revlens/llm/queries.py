@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, lang_id, license_scan, packing, pii, sharding, token_counts, url_filter
+from . import ann, lang_id, license_scan, ngram_join, packing, pii, sharding, token_counts, url_filter
 from .common import table
 
 PII_KEY = "revlens.pii.key"  # session setting that holds the pseudonym key
@@ -45,6 +45,10 @@ def op5_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_pii": op4_pii,
     "op5_license_scan": op5_license_scan,
+    "op6_ngram_join": op6_ngram_join,
     "op7_packing": op7_packing,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,

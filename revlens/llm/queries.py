@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, lang_id, license_scan, ngram_join, packing, pii, sharding, token_counts, url_filter
+from . import ann, decontam, lang_id, license_scan, ngram_join, packing, pii, sharding, token_counts, url_filter
 from .common import table
 
 PII_KEY = "revlens.pii.key"  # session setting that holds the pseudonym key
@@ -53,6 +53,10 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_decontam(spark, sf_dir):
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hamming")
+
+
 def op9_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.as_of(url_filter.page_captures(pages), url_filter.page_list(pages))
@@ -70,7 +74,8 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_ngram_join": op6_ngram_join,
     "op7_packing": op7_packing,
+    "op8_decontam": op8_decontam,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES = {"op9_url_filter": url_filter.SQL}
+ORACLES = {"op8_decontam": decontam.SQL, "op9_url_filter": url_filter.SQL}

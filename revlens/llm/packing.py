@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, ship
 
-CACHE = 300_000  # remembered words of one Python worker; emptied when full
+CACHE = 500_000  # remembered words of one Python worker; emptied when full
 LONG = 64        # longer words are not remembered
+TOGETHER = 1 << 21  # characters encoded in one go
+MARKS = ".,;:!?#$%&*"  # no letter, number or apostrophe: never part of a letter word's piece
 
 
 def vocabulary(name: str) -> str:
@@ -40,28 +42,65 @@ def vocabulary(name: str) -> str:
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer never joins across white space, so a text's ids are its
-    words' ids in a row, and words that come again are looked up."""
+    The tokenizer drops white space, lower-cases, and never joins across
+    white space or between letters and marks.  So a text's ids are its
+    words' ids in a row, a word of letters and closing marks has the ids of
+    its lower-case letters and of its marks, and what comes again is looked
+    up."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tok, self.known = Tokenizer.from_file(path), {"": b""}
-
-    def _raw(self, words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        words, known = text.replace("\n", " ").split(" "), self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE:
-                known = self.known = {"": b""}
-                new = list(set(words) - {""})
-            made = dict(zip(new, self._raw(new), strict=True))
-            known.update((w, b) for w, b in made.items() if len(w) <= LONG)
-            return b"".join([known[w] if w in known else made[w] for w in words])
-        return b"".join([known[w] for w in words])
+        self.tok, self.known, self.letters, self.marks = Tokenizer.from_file(path), {"": b""}, {}, {"": b""}
+
+    def _ids(self, word: str) -> bytes:
+        return np.asarray(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letter_words(self, words: list[str]) -> None:
+        """Remember the ids of lower-case letter words, many in one call."""
+        for at in range(0, len(words), 2000):
+            part = words[at:at + 2000]
+            made = self.tok.encode(" ".join(part), add_special_tokens=False)
+            ids, word = np.asarray(made.ids, "<u4").tobytes(), np.asarray(made.word_ids, np.int64)
+            ends = [0, *(np.flatnonzero(np.diff(word)) + 1).tolist(), len(word)]
+            if len(ends) - 1 == len(part):
+                self.letters.update((w, ids[4 * i:4 * j]) for w, i, j in zip(part, ends, ends[1:], strict=False))
+            else:  # a letter whose lower case is more than a letter
+                self.letters.update((w, self._ids(w)) for w in part)
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        split, out = {}, {}
+        for w in words:
+            core = w.rstrip(MARKS)
+            if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+                split[w] = (core.lower(), w[len(core):])
+            else:
+                out[w] = self._ids(w)
+        self._letter_words(list({c for c, _ in split.values()}.difference(self.letters)))
+        for w, (core, tail) in split.items():
+            if tail not in self.marks:
+                self.marks[tail] = self._ids(tail)
+            out[w] = self.letters[core] + self.marks[tail]
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (size == 0 or size + len(texts[end]) <= TOGETHER):
+                size, end = size + len(texts[end]), end + 1
+            if max(len(self.known), len(self.letters), len(self.marks)) > CACHE:
+                self.known, self.letters, self.marks = {"": b""}, {}, {"": b""}
+            split = [t.replace("\n", " ").split(" ") for t in texts[at:end]]
+            new = set().union(*split).difference(self.known)
+            made = self._learn(new)
+            self.known.update(made)
+            for words in split:
+                yield b"".join(map(self.known.__getitem__, words))
+            for w in made:
+                if len(w) > LONG:
+                    del self.known[w]
+            at = end
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -104,8 +143,8 @@ def pieces(docs: DataFrame, path: str, length: int, end_id: int, with_ids: bool)
         enc = encoder(path)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                raw = enc.encode(text or "") + end
+            for doc_id, ids in zip(batch["doc_id"], enc.encode([t or "" for t in batch["text"]]), strict=True):
+                raw = ids + end
                 n = len(raw) // 4
                 for at in range(0, n, length):
                     part = raw[4 * at:4 * (at + length)]

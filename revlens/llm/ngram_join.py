@@ -98,6 +98,11 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """What tells the rows of ``docs`` apart: a hash of id and text."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """Node, set size and group counts of every document; and counts of
     shingles that a task saw in several nodes (rows with ``shingle``)."""
@@ -106,24 +111,24 @@ def sketch(docs: DataFrame) -> DataFrame:
         ids, c = np.unique(np.concatenate(held), return_counts=True)
         ids, c = ids[c > 1], c[c > 1]
         out = pd.DataFrame({"shingle": ids.view(np.int64), "c": c.astype(np.int64)}).reindex(columns=cols)
-        return out.astype({k: "Int64" for k in ("doc_id", "n", "node", "check")}).assign(vec=None)
+        return out.astype({k: "Int64" for k in cols[:5]}).assign(vec=None)
 
-    cols = ["doc_id", "n", "node", "check", "vec", "shingle", "c"]
+    cols = ["doc_id", "row_key", "n", "node", "check", "vec", "shingle", "c"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, seen = [], 0, set()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, key, text in zip(batch["doc_id"], batch["row_key"], batch["text"], strict=True):
                 s = shingles(text)
                 node, check = node_of(s)
                 vec = np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS) if len(s) else None
-                rows.append((doc_id, len(s), node, check, vec))
+                rows.append((doc_id, key, len(s), node, check, vec))
                 if len(s) and node not in seen:
                     seen.add(node)
                     held.append(s)
                     size += len(s)
-            out = pd.DataFrame(rows, columns=cols[:5])
+            out = pd.DataFrame(rows, columns=cols[:6])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"), shingle=pd.array([pd.NA] * len(out), "Int64"),
                              c=pd.array([pd.NA] * len(out), "Int64"))
             if size > COUNT_FLUSH:
@@ -132,7 +137,8 @@ def sketch(docs: DataFrame) -> DataFrame:
         if held:
             yield counted(held)
 
-    return _read(docs).mapInPandas(run, "doc_id long, n long, node long, check long, vec array<int>, shingle long, c long")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), row_key(docs).alias("row_key"))
+    return rows.mapInPandas(run, "doc_id long, row_key long, n long, node long, check long, vec array<int>, shingle long, c long")
 
 
 def list_keys(docs: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -300,11 +306,11 @@ def open_pairs(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFram
     return rows.groupBy("task").applyInPandas(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and copies (rows with an equal set) of every document."""
+def _joined(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key, n_shingles, component_id, copies and comp (the component's smallest node) of every row."""
     ship(docs.sparkSession)
     made = cut(sketch(docs))
-    each = made.where(F.col("node").isNotNull()).select("doc_id", "n", "node", "check")
+    each = made.where(F.col("node").isNotNull()).select("doc_id", "row_key", "n", "node", "check")
     nodes = cut(made.where("n > 0").groupBy("node", "check", "n").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("vec").alias("vec")))
     often = max(HOT_LEAST, nodes.count() // HOT_SHARE)
@@ -323,8 +329,27 @@ def join(docs: DataFrame) -> DataFrame:
 
     smallest = comps.join(nodes, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))
     found = (comps.join(smallest, "comp").join(nodes.select("node", "copies"), "node")
-             .select(F.col("node").alias("nd"), "component_id", "copies"))
+             .select(F.col("node").alias("nd"), "component_id", "copies", "comp"))
     linked = each.where("n > 0").join(found, each["node"] == found["nd"])
-    empty = each.where("n = 0").withColumns({"component_id": F.col("doc_id"), "copies": F.lit(1).cast("long")})
-    cols: list[str | Column] = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "copies"]
+    empty = each.where("n = 0").withColumns({"component_id": F.col("doc_id"), "copies": F.lit(1).cast("long"),
+                                             "comp": F.lit(None).cast("long")})
+    cols: list[str | Column] = ["doc_id", "row_key", F.col("n").alias("n_shingles"), "component_id", "copies", "comp"]
     return linked.select(*cols).unionByName(empty.select(*cols))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and copies (rows with an equal set) of every document."""
+    return _joined(docs).select("doc_id", "n_shingles", "component_id", "copies")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (before null).
+
+    Rows without words stay; rows equal in id and text stay once."""
+    rows = _joined(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    kept = (rows.where("n_shingles > 0").groupBy("comp").agg(first.alias("first")).select(F.col("first.row_key").alias("keep"))
+            .unionByName(rows.where("n_shingles = 0").select(F.col("row_key").alias("keep")).distinct()))
+    keyed = docs.select(row_key(docs).alias("keep"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return (keyed.join(kept, "keep").groupBy("keep").agg(F.first("row").alias("row"))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import cut, ship
 
 BITS, DIMS, TIE = 8, 6, 15  # a curve key has BITS * DIMS bits, and TIE bits of the id's hash below them
+DEPTH = 64  # least rows of a window
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -137,6 +138,8 @@ def search(table: DataFrame, is_query: Column, *, id_column: str = "vec_id", vec
     def placed(dim: Column, curve: Column, key: Column) -> Column:
         out = F.lit(0)
         for (d, c), b in borders.items():
+            n = max(1, min(windows, counts[d][0] // DEPTH))  # a small table has fewer, deeper windows
+            b = [b[i * windows // n - 1] for i in range(1, n)]
             w = sum((F.when(key >= int(v), 1).otherwise(0) for v in b), F.lit(0))
             out = F.when((dim == d) & (curve == c), w).otherwise(out)
         return out.cast("int")

@@ -11,8 +11,8 @@ A place is a candidate if it holds one of the template's probe words: with
 m words and coverage c, at most floor((1 - c) m) words may be missing, so
 one of any floor((1 - c) m) + 1 word occurrences must be there.  A text
 without any probe word cannot reach the coverage and is skipped without
-loss.  Of places that overlap, the one with the higher coverage (then the
-longer one) stays, so near templates do not both claim a notice.
+loss.  Of places that overlap, the one with the higher coverage (then with
+more matched words) stays, so near templates do not both claim a notice.
 
 Defined results: a null or empty text holds nothing; a text may hold a
 license several times, each place is a row; repeated documents repeat their rows; an empty
@@ -157,7 +157,7 @@ class Scanner:
         for i, w in enumerate(ws):
             if w in wanted:
                 at.setdefault(w, []).append(i)
-        out: dict[tuple[str, int, int], float] = {}
+        out: dict[tuple[str, int, int], tuple[float, int]] = {}
         for (name, template), probe in zip(self.templates, self.probes, strict=True):
             m, done = len(template), -1
             for p in sorted(i for w in probe for i in at.get(w, ())):
@@ -168,10 +168,10 @@ class Scanner:
                 pairs = align(template, ws[a:b])
                 if len(pairs) >= self.coverage * m - 1e-9:
                     start, end = a + pairs[0][1], a + pairs[-1][1] + 1
-                    out[name, start, end] = max(out.get((name, start, end), 0.0), len(pairs) / m)
+                    out[name, start, end] = max(out.get((name, start, end), (0.0, 0)), (len(pairs) / m, len(pairs)))
                     done = end
         kept: list[tuple[str, int, int, float]] = []
-        for (name, s, e), c in sorted(out.items(), key=lambda x: (-x[1], x[0][1] - x[0][2], x[0])):
+        for (name, s, e), (c, _) in sorted(out.items(), key=lambda x: (-x[1][0], -x[1][1], x[0])):
             k = bisect_left(kept, s, key=lambda x: x[1])
             if not (k and kept[k - 1][2] > s or k < len(kept) and kept[k][1] < e):
                 kept.insert(k, (name, s, e, c))

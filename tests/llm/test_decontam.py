@@ -43,7 +43,7 @@ def test_blocks_find_every_fingerprint_within_the_radius(spark):
     df = spark.createDataFrame(rows, "a long, b long")
     same = F.arrays_overlap(D.blocks(F.col("a")), D.blocks(F.col("b")))
     assert df.where(same).count() == 200
-    assert df.where(F.bit_count(F.col("a").bitwiseXOR("b")) != D.RADIUS).count() == 0
+    assert df.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) != D.RADIUS).count() == 0
 
 
 def test_simhash_takes_the_majority_of_bits(spark):

@@ -341,8 +341,8 @@ def label_priority(label: Column) -> Column:
 
 
 def round1(x: Column) -> Column:
-    """Round half up to one decimal with plain double arithmetic."""
-    return F.floor(x * 10.0 + 0.5) / 10.0
+    """Round to one decimal, ties to the even digit."""
+    return F.rint(x * 10.0) / 10.0
 
 
 def risk_score(label: Column, p: Column) -> Column:

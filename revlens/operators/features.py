@@ -4,8 +4,9 @@ language model (LM-*).
 Documents are exploded into (doc, term) rows and counted with
 ``groupBy(doc, term)``; a document lives in one partition, so the map-side
 partial aggregation already collapses repeats and only distinct
-(doc, term) pairs cross the shuffle.  The vocabulary is capped at
-``max_features`` terms (a top-k, bounded size), so it is broadcast back.
+(doc, term) pairs cross the shuffle.  The vocabulary is whole by default and
+joined by term; with ``max_features`` (a top-k, bounded size) it is
+broadcast.
 """
 
 from __future__ import annotations
@@ -37,18 +38,19 @@ def term_counts(docs: DataFrame, text_col: str = "clean_text", id_col: str = "do
 
 
 def vocabulary(tf: DataFrame, n_docs: Column | int, min_df: int = 2, max_df: float = 0.9,
-               max_features: int = 50000, id_col: str = "doc_id") -> DataFrame:
-    """FEA-3/4 vocabulary: df/cf per term, df bounds, top ``max_features``
-    by corpus count (term as tie-break); idf = ln((1+n)/(1+df)) + 1."""
+               max_features: int | None = None, id_col: str = "doc_id") -> DataFrame:
+    """FEA-3/4 vocabulary: df/cf per term, df bounds, if asked the top
+    ``max_features`` by corpus count (term as tie-break); idf = ln((1+n)/(1+df)) + 1."""
     st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     n = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
     kept = st.where((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
-    top = kept.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
-    return top.select("term", "df", "cf", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+    if max_features:
+        kept = kept.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
+    return kept.select("term", "df", "cf", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
 
 
 def tfidf(docs: DataFrame, text_col: str = "clean_text", id_col: str = "doc_id", n_max: int = 2,
-          min_df: int = 2, max_df: float = 0.9, max_features: int = 50000) -> tuple[DataFrame, DataFrame]:
+          min_df: int = 2, max_df: float = 0.9, max_features: int | None = None) -> tuple[DataFrame, DataFrame]:
     """FEA-3: (doc_id, term, weight) with raw tf × smooth idf, L2-normalised
     per document; returns (weights, vocabulary)."""
     tf = term_counts(docs, text_col, id_col, n_max)
@@ -57,7 +59,8 @@ def tfidf(docs: DataFrame, text_col: str = "clean_text", id_col: str = "doc_id",
     if min_df > 1 and voc.isEmpty():
         # FEA-4: an empty vocabulary at min_df falls back to min_df = 1
         voc = vocabulary(tf, n_docs, 1, max_df, max_features, id_col)
-    j = tf.join(F.broadcast(voc.select("term", "idf")), "term")  # ≤ max_features rows
+    terms = voc.select("term", "idf")
+    j = tf.join(F.broadcast(terms) if max_features else terms, "term")
     w = j.select(id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", (F.col("raw") / norm).alias("weight")), voc

@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 from ..sources.fixtures import u
 
 # Poisson(1) cumulative probabilities P(K <= k), k = 0..11.
@@ -135,5 +137,4 @@ def norm(a: Column) -> Column:
 
 
 def normalize(a: Column) -> Column:
-    n = norm(a)
-    return F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+    return let(norm(a), lambda n: F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0))))

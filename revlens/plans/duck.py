@@ -195,7 +195,7 @@ def complaint_groups(tl: str) -> str:
 
 
 def round1(x: str) -> str:
-    return f"(floor(({x}) * 10.0 + 0.5) / 10.0)"
+    return f"(round_even(({x})::DOUBLE * 10.0::DOUBLE, 0) / 10.0::DOUBLE)"
 
 
 def label_priority(lbl: str) -> str:

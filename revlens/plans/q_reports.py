@@ -270,12 +270,12 @@ t AS (SELECT {D.clean('text')} AS ct, count(*) AS mult FROM reviews GROUP BY 1),
 g AS (SELECT mult, unnest(list_filter(list_transform(range(0, length(ct) * 3),
               lambda j: {{'g': substr(ct, (j // 3) + 1, (j % 3) + 3), 'ok': (j // 3) + (j % 3) + 3 <= length(ct)}}),
               lambda x: x.ok)).g AS gram FROM t)
-SELECT gram, sum(mult)::BIGINT AS cf FROM g GROUP BY gram ORDER BY cf DESC, gram ASC LIMIT 50""")
-def q_char_ngrams(spark, d, k: int = 50):
+SELECT gram, sum(mult)::BIGINT AS cf FROM g GROUP BY gram""")
+def q_char_ngrams(spark, d):
     """FEA-2: character 3–5-grams of the cleaned text (spaces included; a
     gram must fit inside the text), counted once per *distinct* cleaned
     text and weighted by how many reviews share it, so the explode is
-    proportional to distinct texts; top ``k`` by corpus count."""
+    proportional to distinct texts."""
     from ..functions.text import clean_text
     rv = reviews_text(spark, d)
     t = rv.groupBy(clean_text(F.col("text")).alias("ct")).agg(F.count(F.lit(1)).alias("mult"))
@@ -286,30 +286,33 @@ def q_char_ngrams(spark, d, k: int = 50):
         (F.floor(j / 3) + j % 3 + 3 <= n).alias("ok")))
     grams = F.transform(F.filter(cand, lambda x: x["ok"] & (n > 0)), lambda x: x["g"])
     g = t.select("mult", F.explode(grams).alias("gram"))
-    c = g.groupBy("gram").agg(F.sum("mult").alias("cf"))
-    return c.orderBy(F.col("cf").desc(), F.col("gram").asc()).limit(k)
+    return g.groupBy("gram").agg(F.sum("mult").alias("cf"))
 
 
 @register("vocab_encoding", lambda: _w(RV) + f""",
 t AS (SELECT review_id, {D.tokens_ws(D.clean('text'))} AS tk FROM reviews),
 w AS (SELECT unnest(tk) AS w FROM t),
-v AS (SELECT w, count(*) AS c FROM w GROUP BY w ORDER BY c DESC, w ASC LIMIT 200),
+v AS (SELECT w, count(*) AS c FROM w GROUP BY w ORDER BY c DESC, w ASC LIMIT 30000),
 vw AS (SELECT list(w ORDER BY c DESC, w ASC) AS vw FROM v),
-e AS (SELECT review_id, list_transform(tk[1:16], lambda x: CASE WHEN list_contains(vw, x) THEN list_position(vw, x) + 1 ELSE 1 END) AS ids
+e AS (SELECT review_id, list_transform(tk[1:80], lambda x: CASE WHEN list_contains(vw, x) THEN list_position(vw, x) + 1 ELSE 1 END) AS ids
       FROM t, vw)
-SELECT review_id, array_to_string(list_concat(ids, list_transform(range(len(ids), 16), lambda _: 0)), ',') AS encoded FROM e""")
-def q_vocab_encoding(spark, d, vocab: int = 200, length: int = 16):
+SELECT review_id, array_to_string(list_concat(ids, list_transform(range(len(ids), 80), lambda _: 0)), ',') AS encoded FROM e""")
+def q_vocab_encoding(spark, d, vocab: int = 30000, length: int = 80):
     """FEA-10: vocabulary index (PAD 0, UNK 1, top ``vocab`` words by count
-    from 2) and fixed-length id encoding; the bounded vocabulary is
-    inlined as a map literal."""
+    from 2) and fixed-length id encoding of the first ``length`` tokens; the
+    vocabulary has at most ``vocab`` rows and is broadcast."""
+    from pyspark.sql import Window
     from ..functions.text import clean_text
     rv = reviews_text(spark, d).select("review_id", tokens_ws(clean_text(F.col("text"))).alias("tk"))
     top = (rv.select(F.explode("tk").alias("w")).groupBy("w").count()
-           .orderBy(F.col("count").desc(), F.col("w").asc()).limit(vocab).collect())  # ≤ vocab rows
-    m = F.create_map(*[x for i, r_ in enumerate(top) for x in (F.lit(r_["w"]), F.lit(i + 2))])
-    ids = F.transform(F.slice("tk", 1, length), lambda x: F.coalesce(F.try_element_at(m, x), F.lit(1)))
-    padded = F.concat(ids, F.array_repeat(F.lit(0), F.greatest(F.lit(0), F.lit(length) - F.size(ids))))
-    return rv.select("review_id", F.array_join(padded, ",").alias("encoded"))
+           .orderBy(F.col("count").desc(), F.col("w").asc()).limit(vocab))
+    ranked = top.select("w", (F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("w").asc())) + 1).alias("id"))
+    # a review id can occur twice: rows are told apart by their place in the scan
+    each = rv.withColumn("row", F.monotonically_increasing_id()).select("row", "review_id", F.posexplode_outer(F.slice("tk", 1, length)).alias("pos", "w"))
+    ids = (each.join(F.broadcast(ranked), "w", "left").groupBy("row", "review_id")
+           .agg(F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(1)).alias("id"))))).alias("x")))
+    padded = F.concat(F.transform("x", lambda x: x["id"]), F.array_repeat(F.lit(0), F.lit(length) - F.size("x")))
+    return ids.select("review_id", F.array_join(padded, ",").alias("encoded"))
 
 
 @register("model_deltas", lambda: _binary_sql().replace("\nSELECT model, split, (tp1", "\n, bm AS (SELECT model, split, (tp1", 1)

@@ -11,7 +11,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..operators import triage as TR
 from ..sources.fixtures import reviews
-from ..sources.tables import table
+from ..sources.tables import fence, table
 from . import duck as D
 from .registry import register
 from .views import predictions, stage1
@@ -195,6 +195,31 @@ def q_lexicon_scores(spark, d):
     return rec.select("review_id", *out)
 
 
+def _doc_lex_sql():
+    return f"""WITH s AS (SELECT doc_id, {D.lex_raw('text')} AS r, {D.lex_negated('text')} AS n,
+             {D.lex_intensified('text')} AS i, {D.lex_contrast('text')} AS c FROM documents)
+SELECT doc_id, round(r, 6) AS afinn_raw, round(n, 6) AS afinn_negated, round(i, 6) AS afinn_intensified,
+       round(c, 6) AS afinn_contrast FROM s"""
+
+
+@register("document_lexicon_scores", _doc_lex_sql)
+def q_document_lexicon_scores(spark, d):
+    """LEX-1..4 on whole ``documents``, whatever their length."""
+    docs = fence(table(spark, d, "documents").select("doc_id", "text"))
+    s = F.col("s")
+    return (docs.select("doc_id", L.score_record(F.col("text")).alias("s"))
+            .select("doc_id", *[F.round(s[k], 6).alias(k) for k in
+                                ("afinn_raw", "afinn_negated", "afinn_intensified", "afinn_contrast")]))
+
+
+@register("conversation_clean_text", lambda: f"""SELECT conv_id, turn, {D.clean('text')} AS clean_text,
+{D.token_count(D.clean('text'))}::INT AS n_tokens FROM conversations""")
+def q_conversation_clean_text(spark, d):
+    """TXT-1/2/5 on every turn of ``conversations``."""
+    ct = table(spark, d, "conversations").select("conv_id", "turn", T.clean_text(F.col("text")).alias("clean_text"))
+    return ct.withColumn("n_tokens", T.token_count(F.col("clean_text")))
+
+
 @register("lexicon_by_rating", lambda: _w(RV) + f"""
 SELECT rating, count(*)::BIGINT AS n, round(avg({D.lex_raw('text')}), 6) AS avg_raw,
        round(avg({D.lex_negated('text')}), 6) AS avg_negated

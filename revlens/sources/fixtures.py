@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.rules import keyword_label_hits
 from ..functions.text import clean_text, tokens_ws
-from .tables import spread, table
+from .tables import fence, table
 
 # FIXED VALUES of the derived test view (FIXTURES.md B1), index 1..16.
 NEG_PHRASES = [
@@ -64,7 +64,7 @@ def _arr(xs):
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: one review per ``lineitem`` row."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = fence(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"))
     rid = F.concat_ws("-", *[F.col(c).cast("string") for c in
                              ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])

@@ -16,27 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than there are cores.
-
-    A single-row-group parquet file is one task no matter how many cores
-    exist; per-row text work on it would run on one core.  On a cluster
-    input (thousands of files) the scan already has more splits than
-    cores and this is a no-op, so no shuffle is added at scale.
-
-    When it does repartition, column ``key`` (default: the first) is
-    wrapped in an always-true ``spark_partition_id() >= 0`` guard.  The
-    guard is non-deterministic to the optimizer, so later filters on
-    derived columns stop above the exchange and run in the parallel stage
-    instead of being pushed (with every expression they depend on) into
-    the single scan task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return fence(df.repartition(cores), key)
-
-
 def fence(df: DataFrame, key: str | None = None) -> DataFrame:
     """Optimizer fence: later filters are evaluated above this projection.
 

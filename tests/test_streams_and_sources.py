@@ -112,3 +112,55 @@ def test_score_stream_equals_batch(spark, sf_small):
     got = {tuple(r) for r in spark.read.parquet(os.path.join(d, "out")).collect()}
     want = {tuple(r) for r in ST.score_rows(spark.read.parquet(src)).collect()}
     assert got == want and len(got) > 0
+
+
+def test_jsonl_ids_and_rare_columns(spark):
+    d = tempfile.mkdtemp()
+    p = os.path.join(d, "r.jsonl")
+    with open(p, "w") as f:
+        for i in range(3000):
+            extra = f', "id": "own{i}"' if i >= 2997 else ""
+            f.write('{"text": "same", "rating": 5%s}\n' % extra)
+    ids = [r.id for r in FS.read_reviews_jsonl(spark, p).collect()]
+    assert len(set(ids)) == 3000 and {"own2997", "own2998", "own2999"} <= set(ids)
+    assert ids == [r.id for r in FS.read_reviews_jsonl(spark, p).collect()]
+
+
+def test_batches_are_read_by_column_name(spark):
+    d = tempfile.mkdtemp()
+    for name, body in (("a.csv", "id,rating,other,text\n1,5,0,hello\n"), ("b.csv", "rating,text,id,other,notes\n4,bye,2,1,late\n"),
+                       ("c.csv", "rating,text\n3,nobody\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(body)
+    rows = {r.id: r for r in FS.read_batches(spark, d).collect()}
+    assert set(rows) == {"1", "2"}
+    assert (rows["1"].rating, rows["1"].text, rows["1"].other, rows["1"].notes) == ("5", "hello", "0", None)
+    assert (rows["2"].rating, rows["2"].text, rows["2"].other, rows["2"].notes) == ("4", "bye", "1", "late")
+    assert rows["2"].source_file == "b.csv"
+
+
+def test_review_pool_is_whole_and_pages_are_cut_apart(spark):
+    d = tempfile.mkdtemp()
+    p = os.path.join(d, "pool.csv")
+    with open(p, "w") as f:
+        f.write("ID,Rating,Text\n" + "".join(f"{i if i % 2 else ''},{i % 7},same words\n" for i in range(4500)) + "x,1,  \n")
+    pool = FS.read_review_pool(spark, [os.path.join(d, "missing.csv"), p])
+    rows = pool.collect()
+    assert len(rows) == 4500 and len({r.id for r in rows}) == 4500 and all(1 <= r.rating <= 5 for r in rows)
+    page = FS.pool_page(pool, 5000).collect()
+    assert len(page) == 3000 and [r.id for r in page[:3]] == ["1", "3", "5"]
+
+
+def test_contrast_score_is_linear_in_the_text(spark):
+    import time
+    from pyspark.sql import functions as F
+    from revlens.functions import lexicon as L
+
+    def seconds(n):
+        df = spark.createDataFrame([("good but not bad " * (n // 4),)] * 20, "text string")
+        out = df.select(L.contrast_score(F.col("text")).alias("s"))
+        out.collect()
+        t = time.perf_counter()
+        assert len(out.collect()) == 20
+        return time.perf_counter() - t
+    assert seconds(8000) < 30 * max(seconds(1000), 0.05)

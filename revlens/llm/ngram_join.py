@@ -39,6 +39,7 @@ gives no rows; texts are read whole; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -54,6 +55,7 @@ COUNT_FLUSH = 1 << 22  # shingles counted at once in a task
 SLOTS = 1 << 20        # bits of the filter for nodes whose sets are wanted
 BLOCK, LEAF = 2048, 32
 CACHE = 500_000        # remembered words of one Python worker
+TOGETHER = 1 << 21     # characters whose sets are made in one go
 
 _WORDS: dict[bytes, int] = {}
 
@@ -64,29 +66,65 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct shingle hashes of the whole text."""
-    import xxhash
-    words = (text or "").encode("utf-8", "replace").lower().split()  # ASCII letters and white space only
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(_WORDS) > CACHE:
-        _WORDS.clear()
-    for w in set(words).difference(_WORDS):
-        _WORDS[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    size = min(WORDS, len(h))
-    out = np.full(len(h) - size + 1, size, np.uint64)
+class Sets:
+    """Shingle sets of some texts: sorted, distinct, one after the other."""
+
+    def __init__(self, texts: list[str | None]):
+        import xxhash
+        words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]  # ASCII letters and white space only
+        if len(_WORDS) > CACHE:
+            _WORDS.clear()
+        new = set().union(*words).difference(_WORDS)
+        _WORDS.update(zip(new, map(xxhash.xxh3_64_intdigest, new), strict=True))
+        counts = np.array([len(w) for w in words], np.int64)
+        flat = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, int(counts.sum()))
+        starts = np.concatenate(([0], np.cumsum(counts)))
+        whole = _mix(_combine(flat, WORDS))
+        parts = []
+        for i, n in enumerate(counts.tolist()):
+            at = starts[i]
+            if n >= WORDS:
+                s = np.sort(whole[at:at + n - WORDS + 1])
+                parts.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
+            else:
+                parts.append(_mix(_combine(flat[at:at + n], n)) if n else s_none)
+        self.n = np.array([len(p) for p in parts], np.int64)
+        self.all = np.concatenate(parts) if parts else s_none
+        self.starts = np.concatenate(([0], np.cumsum(self.n)))
+        self.doc = np.repeat(np.arange(len(parts)), self.n)
+        # Two independent 64-bit hashes of every set: sums of its hashes, mixed.
+        self.node = _mix(self._sums(self.all) + self.n.astype(np.uint64)).view(np.int64)
+        self.check = _mix(self._sums(_mix(self.all ^ np.uint64(0x5851F42D4C957F2D)))).view(np.int64)
+
+    def _sums(self, x: np.ndarray) -> np.ndarray:
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
+        return total[self.starts[1:]] - total[self.starts[:-1]]
+
+    def of(self, i: int) -> np.ndarray:
+        return self.all[self.starts[i]:self.starts[i + 1]]
+
+
+s_none = np.empty(0, np.uint64)
+
+
+def _combine(h: np.ndarray, size: int) -> np.ndarray:
+    """One hash for every ``size`` words in a row."""
+    out = np.full(max(0, len(h) - size + 1), size, np.uint64)
     for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - size + 1 + i]
-    return np.unique(_mix(out))
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - size + 1 + i] if len(out) else out
+    return out
 
 
-def node_of(s: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit hashes of a set."""
-    one = _mix(s.sum(dtype=np.uint64)[None] + np.uint64(len(s)))
-    two = _mix(_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)[None])
-    return int(one.view(np.int64)[0]), int(two.view(np.int64)[0])
+def in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Sets]]:
+    """The rows and their sets, so many at a time as ``TOGETHER`` characters allow."""
+    for batch in batches:
+        size = batch["text"].str.len().fillna(0).to_numpy(np.int64)
+        group = np.cumsum(size) // TOGETHER
+        for start, end in zip(*(lambda e: (np.concatenate(([0], e)), np.concatenate((e, [len(batch)]))))(
+                np.flatnonzero(np.diff(group)) + 1), strict=True):
+            rows = batch.iloc[start:end]
+            if len(rows):
+                yield rows, Sets(rows["text"].tolist())
 
 
 def _required(n_a, n_b):
@@ -117,20 +155,18 @@ def sketch(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, seen = [], 0, set()
-        for batch in batches:
-            rows = []
-            for doc_id, key, text in zip(batch["doc_id"], batch["row_key"], batch["text"], strict=True):
-                s = shingles(text)
-                node, check = node_of(s)
-                vec = np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS) if len(s) else None
-                rows.append((doc_id, key, len(s), node, check, vec))
-                if len(s) and node not in seen:
+        for rows, sets in in_chunks(batches):
+            group = sets.doc * GROUPS + (sets.all >> np.uint64(40)).astype(np.int64) % GROUPS
+            vec = np.bincount(group, minlength=len(rows) * GROUPS).reshape(len(rows), GROUPS)
+            out = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "row_key": rows["row_key"], "n": sets.n,
+                                "node": sets.node, "check": sets.check})
+            out["vec"] = pd.Series([v if n else None for v, n in zip(vec, sets.n, strict=True)], index=out.index, dtype=object)
+            yield out.assign(shingle=pd.array([pd.NA] * len(out), "Int64"), c=pd.array([pd.NA] * len(out), "Int64"))
+            for i, node in enumerate(sets.node.tolist()):
+                if sets.n[i] and node not in seen:
                     seen.add(node)
-                    held.append(s)
-                    size += len(s)
-            out = pd.DataFrame(rows, columns=cols[:6])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"), shingle=pd.array([pd.NA] * len(out), "Int64"),
-                             c=pd.array([pd.NA] * len(out), "Int64"))
+                    held.append(sets.of(i))
+                    size += len(held[-1])
             if size > COUNT_FLUSH:
                 yield counted(held)
                 held, size = [], 0
@@ -147,25 +183,21 @@ def list_keys(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common, seen = shared.value, set()
-        for batch in batches:
-            keys, nodes, hots = [], [], []
-            for text in batch["text"]:
-                s = shingles(text)
-                if not len(s):
-                    continue
-                node, _ = node_of(s)
-                if node in seen:
+        for _, sets in in_chunks(batches):
+            often = np.zeros(len(sets.all), bool)
+            if len(common):
+                often = common[np.minimum(np.searchsorted(common, sets.all), len(common) - 1)] == sets.all
+            chosen = []
+            for i, (node, n) in enumerate(zip(sets.node.tolist(), sets.n.tolist(), strict=True)):
+                if not n or node in seen:
                     continue
                 seen.add(node)
-                at = np.minimum(np.searchsorted(common, s), max(0, len(common) - 1))
-                often = common[at] == s if len(common) else np.zeros(len(s), bool)
-                first = np.argsort(often, kind="stable")[:len(s) - -(-4 * len(s) // 5) + 1]
-                keys.append(s[first])
-                hots.append(often[first])
-                nodes.append(np.full(len(first), node, np.int64))
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.concatenate(nodes),
-                                    "hot": np.concatenate(hots)})
+                at = sets.starts[i]
+                first = np.argsort(often[at:at + n], kind="stable")[:n - -(-4 * n // 5) + 1]
+                chosen.append(first + at)
+            if chosen:
+                at = np.concatenate(chosen)
+                yield pd.DataFrame({"key": sets.all[at].view(np.int64), "node": sets.node[sets.doc[at]], "hot": often[at]})
 
     return _read(docs).mapInPandas(run, "key long, node long, hot boolean")
 
@@ -191,14 +223,14 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         may, seen = np.unpackbits(shared.value).astype(bool), set()
-        for batch in batches:
+        for _, sets in in_chunks(batches):
+            wanted_here = np.flatnonzero(may[sets.node % SLOTS] & (sets.n > 0))
             out = []
-            for text in batch["text"]:
-                s = shingles(text)
-                node, _ = node_of(s)
-                if len(s) and may[node % SLOTS] and node not in seen:
+            for i in wanted_here.tolist():
+                node = int(sets.node[i])
+                if node not in seen:
                     seen.add(node)
-                    out.append((node, s.tobytes()))
+                    out.append((node, sets.of(i).tobytes()))
             if out:
                 yield pd.DataFrame(out, columns=["node", "set"])
 
@@ -316,7 +348,8 @@ def _joined(docs: DataFrame) -> DataFrame:
     often = max(HOT_LEAST, nodes.count() // HOT_SHARE)
     hot = (made.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("c").alias("c"))
            .where(F.col("c") >= often).select("shingle").toPandas()["shingle"].to_numpy().astype(np.int64))
-    lists = cut(listed(list_keys(docs, np.sort(hot.view(np.uint64)))))
+    keys = cut(list_keys(docs, np.sort(hot.view(np.uint64))))
+    lists = cut(listed(keys))
     sets = cut(sets_of(docs, lists.select("node").distinct()))
 
     star = lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()

@@ -103,8 +103,16 @@ def group_quality(df: DataFrame, group_col: str, labels=K.ISSUE_LABELS) -> DataF
         F.round(drift, 6).alias("label_prevalence_drift"))
 
 
-def validation_rules(df: DataFrame, strict_other: bool = True, labels=K.ISSUE_LABELS) -> DataFrame:
-    """LBL-3: (rule, severity, n_bad) in one pass plus one id aggregate."""
+REQUIRED = ("id", "rating", "text")
+
+
+def validation_rules(df: DataFrame, strict_other: bool = False, fail_on_conflicts: bool = False,
+                     labels=K.ISSUE_LABELS) -> DataFrame:
+    """LBL-3: (rule, severity, n_bad, passed) in one pass plus one id aggregate.
+
+    Missing ids, non-binary cells and rows without a label are fatal; a
+    contradiction with ``other`` and conflicting duplicates are fatal on
+    request only."""
     d = with_coerced_labels(df.withColumn("id", normalize_id(F.col("id"))), labels)
     nonbin = F.lit(False)
     for lb in labels:
@@ -121,16 +129,53 @@ def validation_rules(df: DataFrame, strict_other: bool = True, labels=K.ISSUE_LA
     id_aggs = per_id.agg(F.count_if(F.col("n") > 1).alias("duplicate_ids"),
                          F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"),
                          F.count_if(F.col("k") > 1).alias("conflicting_ids"))
-    rules = [("missing_id", "warn"), ("non_binary", "warn"), ("zero_label", "warn"),
+    rules = [("missing_id", "fatal"), ("non_binary", "fatal"), ("zero_label", "fatal"),
              ("other_with_label", "fatal" if strict_other else "warn")]
     r1 = row_aggs.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"),
                                                      F.col(n).alias("n_bad")) for n, s in rules])))
-    rules2 = [("duplicate_ids", "warn"), ("duplicate_rows", "warn"), ("conflicting_ids", "fatal")]
+    rules2 = [("duplicate_ids", "warn"), ("duplicate_rows", "warn"), ("conflicting_ids", "fatal" if fail_on_conflicts else "warn")]
     r2 = id_aggs.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"),
                                                     F.col(n).cast("bigint").alias("n_bad")) for n, s in rules2])))
     return r1.unionByName(r2).withColumn("passed", F.col("n_bad") == 0)
 
 
+def validate(df: DataFrame, strict_other: bool = False, fail_on_conflicts: bool = False,
+             labels=K.ISSUE_LABELS) -> DataFrame:
+    """The rule table of ``df``; raises on missing columns and on a fatal rule that fails."""
+    missing = [c for c in (*REQUIRED, *labels) if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    rules = validation_rules(df, strict_other, fail_on_conflicts, labels)
+    failed = [f"{r['rule']}: {r['n_bad']}" for r in rules.where("severity = 'fatal' and not passed").collect()]  # <= 7 rows
+    if failed:
+        raise ValueError("validation failed: " + ", ".join(failed))
+    return rules
+
+
+def joined_with_base(rows: DataFrame, base: DataFrame, key: str = "id") -> DataFrame:
+    """JOIN-1: label rows left-joined to the corpus.  The label row's text
+    and rating win, the corpus fills their gaps, a text still missing is
+    empty; an id that the corpus holds several times gives as many rows."""
+    b = base.select(F.col(key).alias("_key"), F.col("text").alias("_text"), F.col("rating").cast("string").alias("_rating"))
+    j = rows.join(b, rows[key] == b["_key"], "left")
+    return (j.withColumns({"text": F.coalesce("text", "_text", F.lit("")),
+                           "rating": F.coalesce("rating", "_rating").try_cast("double")})
+            .drop("_key", "_text", "_rating"))
+
+
+def drop_counts(df: DataFrame, strict_other: bool = False, labels=K.ISSUE_LABELS) -> DataFrame:
+    """LBL-5: rows dropped before training, in the order of the steps:
+    invalid cells, then no label, then (if strict) contradictions."""
+    d = with_coerced_labels(df, labels)
+    bins = {lb: F.coalesce(F.col(f"_v_{lb}") == 1.0, F.lit(False)) for lb in labels}
+    card = sum((bins[lb].cast("int") for lb in labels), F.lit(0))
+    ok = F.col("labels_complete")
+    zero = ok & (card == 0)
+    contra = ok & bins["other"] & (card > 1) if strict_other else F.lit(False)
+    return d.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("dropped_invalid"), F.count_if(zero).alias("dropped_unlabelled"),
+                 F.count_if(contra).alias("dropped_contradiction"), F.count_if(ok & ~zero & ~contra).alias("kept"))
+
+
 def label_frequency(df: DataFrame, labels=K.ISSUE_LABELS) -> DataFrame:
     """AGG-7: per label positives and prevalence among complete rows."""
     d = with_coerced_labels(df, labels).where(F.col("labels_complete"))

@@ -303,7 +303,7 @@ def label_batches_cte() -> str:
                      f"THEN (1 - {t})::VARCHAR ELSE {t}::VARCHAR END AS {lb}")
     ann = f"({h(q('id'))})::VARCHAR"
     return f"""
-lb_0 AS (SELECT review_id, rating, text FROM reviews WHERE {u(q('ann'))} < 0.05),
+lb_0 AS (SELECT review_id, rating, text FROM reviews),
 lb_1 AS (SELECT *, unnest(range(1, 1 + (1 + {h(q('n'))} % 3)::INT)) AS copy FROM lb_0),""" + truth_cte(
         "lb_1", "lb_t") + f""",
 label_batches AS (

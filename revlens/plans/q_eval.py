@@ -13,7 +13,7 @@ from ..operators import metrics as M
 from ..operators import stats as S
 from ..sources.fixtures import issue_scores, scored_reviews, u
 from . import duck as D
-from .registry import register
+from .registry import ORACLES, register
 
 RV, SC, IS = D.reviews_cte, D.scored_cte, D.issue_scores_cte
 MODELS = {"m1": "p", "m2": "p2"}
@@ -455,6 +455,30 @@ def q_mcnemar(spark, d):
     return S.mcnemar(_test_preds(spark, d), "y", "pred_a", "pred_b")
 
 
+def _report_sql():
+    b, pb, mc = _boot_sql(200, False), _boot_sql(200, True), ORACLES["mcnemar"]()
+    return f"""SELECT 'estimate' AS part, metric AS name, point_estimate AS value, ci_low, ci_high FROM ({b})
+UNION ALL SELECT 'difference', metric, point_diff, ci_low, ci_high FROM ({pb})
+UNION ALL SELECT 'mcnemar', 'chi2_cc', chi2_cc, NULL, NULL FROM ({mc})
+UNION ALL SELECT 'mcnemar', 'p_value', p_value, NULL, NULL FROM ({mc})
+UNION ALL SELECT 'mcnemar', 'n01', n01::DOUBLE, NULL, NULL FROM ({mc})
+UNION ALL SELECT 'mcnemar', 'n10', n10::DOUBLE, NULL, NULL FROM ({mc})"""
+
+
+@register("evaluation_report", _report_sql)
+def q_evaluation_report(spark, d):
+    """STA-4: one table of the bootstrap intervals of model a, of its
+    difference to model b, and the McNemar test between them."""
+    one, two, test = q_bootstrap_ci(spark, d), q_paired_bootstrap(spark, d), q_mcnemar(spark, d)
+    def rows(df, part, point):
+        return df.select(F.lit(part).alias("part"), F.col("metric").alias("name"), F.col(point).alias("value"), "ci_low", "ci_high")
+    none = F.lit(None).cast("double")
+    cells = test.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value"))
+                                           for n in ("chi2_cc", "p_value", "n01", "n10")])))
+    return (rows(one, "estimate", "point_estimate").unionByName(rows(two, "difference", "point_diff"))
+            .unionByName(cells.select(F.lit("mcnemar").alias("part"), "name", "value", none.alias("ci_low"), none.alias("ci_high"))))
+
+
 def _tax_sql():
     raw = "coalesce(text, '')"
     pad = f"(' ' || lower({raw}) || ' ')"

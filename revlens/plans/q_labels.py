@@ -142,13 +142,13 @@ ra AS (SELECT count(*) FILTER (WHERE id = '') AS missing_id, count(*) FILTER (WH
 pi AS (SELECT id, count(*) AS n, count(DISTINCT {vec}) AS k FROM v_0 WHERE id <> '' GROUP BY id),
 ia AS (SELECT count(*) FILTER (WHERE n > 1) AS duplicate_ids, coalesce(sum(n) FILTER (WHERE n > 1), 0) AS duplicate_rows,
               count(*) FILTER (WHERE k > 1) AS conflicting_ids FROM pi),
-rr AS (SELECT 'missing_id' AS rule, 'warn' AS severity, missing_id::BIGINT AS n_bad FROM ra
-       UNION ALL SELECT 'non_binary', 'warn', non_binary::BIGINT FROM ra
-       UNION ALL SELECT 'zero_label', 'warn', zero_label::BIGINT FROM ra
-       UNION ALL SELECT 'other_with_label', 'fatal', other_with_label::BIGINT FROM ra
+rr AS (SELECT 'missing_id' AS rule, 'fatal' AS severity, missing_id::BIGINT AS n_bad FROM ra
+       UNION ALL SELECT 'non_binary', 'fatal', non_binary::BIGINT FROM ra
+       UNION ALL SELECT 'zero_label', 'fatal', zero_label::BIGINT FROM ra
+       UNION ALL SELECT 'other_with_label', 'warn', other_with_label::BIGINT FROM ra
        UNION ALL SELECT 'duplicate_ids', 'warn', duplicate_ids::BIGINT FROM ia
        UNION ALL SELECT 'duplicate_rows', 'warn', duplicate_rows::BIGINT FROM ia
-       UNION ALL SELECT 'conflicting_ids', 'fatal', conflicting_ids::BIGINT FROM ia)
+       UNION ALL SELECT 'conflicting_ids', 'warn', conflicting_ids::BIGINT FROM ia)
 SELECT rule, severity, n_bad, n_bad = 0 AS passed FROM rr"""
 
 
@@ -223,29 +223,32 @@ def q_annotation_queue(spark, d, n: int = 50):
 
 
 def _labelled_sql():
-    aggs = ", ".join(f"arg_max({c}, CASE WHEN {c} IS NOT NULL THEN {{'m': source_mtime, 'o': row_order}} END) AS {c}"
-                     for c in ["rating", "text"] + LABELS)
-    return _w(RV, LBC) + "," + _filtered_sql() + f""",
-dd AS (SELECT review_id, {aggs} FROM filtered GROUP BY review_id),
-j AS (SELECT dd.*, r.text AS base_text, r.rating AS base_rating FROM dd LEFT JOIN reviews r USING (review_id))
-SELECT count(*)::BIGINT AS labelled_rows, count(*) FILTER (WHERE base_text IS NOT NULL)::BIGINT AS with_base_text,
-       count(*) FILTER (WHERE coalesce(base_text, text) IS NULL)::BIGINT AS missing_text,
-       count(*) FILTER (WHERE other = 1)::BIGINT AS other_rows,
-       round(avg(({' + '.join(LABELS)})::DOUBLE), 6) AS avg_cardinality
-FROM j"""
+    ints = ", ".join(f"f.{lb}" for lb in LABELS)
+    return _w(RV, LBC) + "," + _filtered_sql() + f"""
+SELECT f.review_id, f.id, coalesce(f.text, r.text, '') AS text,
+       TRY_CAST(coalesce(f.rating, r.rating::VARCHAR) AS DOUBLE) AS rating, {ints}
+FROM filtered f LEFT JOIN reviews r ON r.review_id = f.review_id"""
 
 
 @register("labelled_set", _labelled_sql)
 def q_labelled_set(spark, d):
-    """JOIN-1 + LBL-5: deduplicated labels left-joined to the review corpus
-    on the review key (text/rating taken from the base), with counters."""
-    f = _filtered(spark, d)
-    dd = LB.dedup_newest(f.select("review_id", "source_mtime", "row_order", "rating", "text", *LABELS),
-                         key="review_id", columns=["rating", "text"] + LABELS)
-    base = reviews(spark, d).select("review_id", F.col("text").alias("base_text"), F.col("rating").alias("base_rating"))
-    j = dd.join(base, "review_id", "left")
-    card = sum((F.col(lb) for lb in LABELS[1:]), F.col(LABELS[0]))
-    return j.agg(F.count(F.lit(1)).alias("labelled_rows"), F.count_if(F.col("base_text").isNotNull()).alias("with_base_text"),
-                 F.count_if(F.coalesce(F.col("base_text"), F.col("text")).isNull()).alias("missing_text"),
-                 F.count_if(F.col("other") == 1).alias("other_rows"),
-                 F.round(F.avg(card.cast("double")), 6).alias("avg_cardinality"))
+    """JOIN-1: labelled rows with text and rating, gaps filled from the reviews."""
+    f = _filtered(spark, d).select("review_id", "id", "text", "rating", *LABELS)
+    return LB.joined_with_base(f, reviews(spark, d).select("review_id", "text", "rating"), key="review_id")
+
+
+def _drops_sql():
+    card = " + ".join(f"(coalesce(_v_{lb} = 1.0, false))::INT" for lb in LABELS)
+    return _w(RV, LBC) + f""",
+c AS (SELECT *, {card} AS card FROM {_coerced('label_batches')})
+SELECT count(*)::BIGINT AS rows, count(*) FILTER (WHERE NOT labels_complete)::BIGINT AS dropped_invalid,
+       count(*) FILTER (WHERE labels_complete AND card = 0)::BIGINT AS dropped_unlabelled,
+       count(*) FILTER (WHERE labels_complete AND _v_other = 1.0 AND card > 1)::BIGINT AS dropped_contradiction,
+       count(*) FILTER (WHERE labels_complete AND card > 0 AND NOT (_v_other = 1.0 AND card > 1))::BIGINT AS kept
+FROM c"""
+
+
+@register("labelled_drops", _drops_sql)
+def q_labelled_drops(spark, d):
+    """LBL-5: rows that training drops, by reason (strict about ``other``)."""
+    return LB.drop_counts(label_batches(spark, d), strict_other=True)

@@ -37,7 +37,7 @@ def _frame(spark, rows):
 
 def test_validation_flags_duplicate_conflicts(spark):
     df = _frame(spark, [("1", {"delivery_shipping"}), ("1", {"other"}), ("2", {"customer_service"})])
-    rules = {r["rule"]: r for r in LB.validation_rules(df).collect()}
+    rules = {r["rule"]: r for r in LB.validation_rules(df, fail_on_conflicts=True).collect()}
     assert rules["conflicting_ids"]["n_bad"] == 1 and rules["conflicting_ids"]["severity"] == "fatal"
     assert not rules["conflicting_ids"]["passed"]
 
@@ -48,6 +48,26 @@ def test_validation_flags_strict_other(spark):
     assert rules["other_with_label"]["n_bad"] == 1 and rules["other_with_label"]["severity"] == "fatal"
 
 
+def test_validate_raises_on_fatal_rules_and_missing_columns(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    good = _frame(spark, [("1", {"other"}), ("2", {"customer_service"})]).withColumns({"rating": F.lit("5"), "text": F.lit("t")})
+    assert LB.validate(good).count() == 7
+    for rows in ([("", {"other"})], [("1", set())]):
+        bad = _frame(spark, rows).withColumns({"rating": F.lit("5"), "text": F.lit("t")})
+        with pytest.raises(ValueError, match="validation failed"):
+            LB.validate(bad)
+    with pytest.raises(ValueError, match="missing columns"):
+        LB.validate(good.drop("text", "other"))
+
+
+def test_label_row_wins_and_the_corpus_fills_gaps(spark):
+    rows = spark.createDataFrame([("1", "own", None), ("2", None, "4"), ("3", None, None)], "id string, text string, rating string")
+    base = spark.createDataFrame([("1", "base", 1), ("2", "base", 2), ("2", "twin", 2)], "id string, text string, rating int")
+    got = sorted((r.id, r.text, r.rating) for r in LB.joined_with_base(rows, base).collect())
+    assert got[:3] == [("1", "own", 1.0), ("2", "base", 4.0), ("2", "twin", 4.0)] and got[3][:2] == ("3", "") and got[3][2] is None
+
+
 def test_distribution_sums_to_total_and_queue_sorted(spark):
     rows = [("a", "NEGATIVE", 0.1, 402.0), ("b", "POSITIVE", 0.9, 104.5), ("c", "UNCERTAIN", None, 210.0),
             ("d", "NEEDS_ATTENTION", 0.45, 311.3)]

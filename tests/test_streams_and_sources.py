@@ -102,6 +102,20 @@ def test_latest_labels_stream_matches_batch(spark, sf_small):
     assert got == want
 
 
+def test_latest_labels_keep_the_later_row_and_the_older_value(spark):
+    d = _scratch()
+    src, out = os.path.join(d, "in"), os.path.join(d, "out")
+    os.makedirs(src)
+    schema = "id string, source_mtime string, a string, b string"
+    for name, body in (("1.csv", "7,2024-01-02 00:00:00,old,keep\n7,2024-01-02 00:00:00,new,\n8,2024-01-05 00:00:00,x,y\n"),
+                       ("2.csv", "8,2024-01-01 00:00:00,late,late\n7,2024-01-03 00:00:00,,\n")):
+        with open(os.path.join(src, name), "w") as f:
+            f.write("id,source_mtime,a,b\n" + body)
+        ST.latest_labels_stream(spark, src, schema, out, os.path.join(d, "ckpt"))
+    got = {r["id"]: (r["a"], r["b"], str(r["source_mtime"])[:10]) for r in ST.latest_labels(spark.read.parquet(out)).collect()}
+    assert got == {"7": ("new", "keep", "2024-01-03"), "8": ("x", "y", "2024-01-05")}
+
+
 def test_score_stream_equals_batch(spark, sf_small):
     from revlens.sources.fixtures import scored_reviews
     d = _scratch()

@@ -214,8 +214,8 @@ def listed(keys: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, set) of the wanted nodes.  A filter of fixed size goes to the
-    tasks; the join after it is exact."""
+    """(node, set) of the wanted nodes and of a few more: the filter that
+    goes to the tasks has a fixed size, whoever joins by node is exact."""
     slots = wanted.select(F.pmod("node", F.lit(SLOTS)).alias("s")).distinct().toPandas()["s"].to_numpy()
     bits = np.zeros(SLOTS, bool)
     bits[slots.astype(np.int64)] = True
@@ -234,8 +234,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=["node", "set"])
 
-    found = _read(docs).mapInPandas(run, "node long, set binary")
-    return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    # Dealt by node once: the two joins below read the same exchange.
+    return _read(docs).mapInPandas(run, "node long, set binary").repartition("node").dropDuplicates(["node"])
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -248,8 +248,9 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .where(low >= need).select("a", "b"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose whole sets link."""
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs of nodes whose whole sets link."""
+    sets = sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -350,14 +351,14 @@ def _joined(docs: DataFrame) -> DataFrame:
            .where(F.col("c") >= often).select("shingle").toPandas()["shingle"].to_numpy().astype(np.int64))
     keys = cut(list_keys(docs, np.sort(hot.view(np.uint64))))
     lists = cut(listed(keys))
-    sets = cut(sets_of(docs, lists.select("node").distinct()))
 
     star = lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     tried = cut(bounded(star, nodes))
-    links = cut(verified(tried, sets))
+    links = cut(verified(docs, tried))
     comps = cut(components(nodes.select("node"), links))
-    more = cut(verified(open_pairs(lists, comps, nodes).join(tried, ["a", "b"], "left_anti"), sets))
-    if not more.isEmpty():
+    left = cut(open_pairs(lists, comps, nodes).join(tried, ["a", "b"], "left_anti"))
+    if not left.isEmpty():
+        more = cut(verified(docs, left))
         comps = cut(components(nodes.select("node"), links.unionByName(more)))
 
     smallest = comps.join(nodes, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))

@@ -39,7 +39,6 @@ gives no rows; texts are read whole; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -54,11 +53,9 @@ HOT_SHARE, HOT_LEAST = 2000, 32
 COUNT_FLUSH = 1 << 22  # shingles counted at once in a task
 SLOTS = 1 << 20        # bits of the filter for nodes whose sets are wanted
 BLOCK, LEAF = 2048, 32
-CACHE = 500_000        # remembered words of one Python worker
+STRETCH = 1 << 20      # bytes hashed in one go
 TOGETHER = 1 << 21     # characters whose sets are made in one go
 
-_WORDS: dict[bytes, int] = {}
-
 
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -66,19 +63,53 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+# A word's hash is a polynomial in a fixed odd base over random values of its bytes, modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15 * 8 + 5 & (1 << 64) - 1
+_BYTE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
+_SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n of the base and of its inverse."""
+    if not _POWERS or len(_POWERS[0]) <= n:
+        made = [np.ones(max(n, STRETCH) + 1, np.uint64) for _ in range(2)]
+        for out, base in zip(made, (_BASE, pow(_BASE, -1, 1 << 64)), strict=True):
+            out[1:] = base
+            np.cumprod(out, out=out)
+        if n > STRETCH:
+            return made[0], made[1]
+        _POWERS[:] = made
+    return _POWERS[0], _POWERS[1]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the words of ``data`` (split at ASCII white space), about ``STRETCH`` bytes at a time."""
+    raw = np.frombuffer(data, np.uint8)
+    edge = np.concatenate(([True], _SPACE[raw], [True]))
+    starts, ends = np.flatnonzero(edge[:-1] & ~edge[1:]), np.flatnonzero(~edge[:-1] & edge[1:])
+    out, k = np.empty(len(starts), np.uint64), 0
+    while k < len(starts):
+        at = starts[k]
+        last = max(k + 1, int(np.searchsorted(ends, at + STRETCH, side="right")))
+        up, down = _powers(int(ends[last - 1] - at))
+        part = raw[at:ends[last - 1]]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[part] * up[:len(part)], dtype=np.uint64)))
+        a, b = starts[k:last] - at, ends[k:last] - at
+        out[k:last] = (sums[b] - sums[a]) * down[a]
+        k = last
+    return starts, _mix(out)
+
+
 class Sets:
     """Shingle sets of some texts: sorted, distinct, one after the other."""
 
     def __init__(self, texts: list[str | None]):
-        import xxhash
-        words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]  # ASCII letters and white space only
-        if len(_WORDS) > CACHE:
-            _WORDS.clear()
-        new = set().union(*words).difference(_WORDS)
-        _WORDS.update(zip(new, map(xxhash.xxh3_64_intdigest, new), strict=True))
-        counts = np.array([len(w) for w in words], np.int64)
-        flat = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, int(counts.sum()))
-        starts = np.concatenate(([0], np.cumsum(counts)))
+        data = [(t or "").encode("utf-8", "replace") for t in texts]
+        begins = np.concatenate(([0], np.cumsum([len(d) + 1 for d in data], dtype=np.int64)))
+        where, flat = word_hashes(b" ".join(data).lower())  # bytes: lowers A-Z only
+        starts = np.searchsorted(where, begins)
+        counts = np.diff(starts)
         whole = _mix(_combine(flat, WORDS))
         parts = []
         for i, n in enumerate(counts.tolist()):

@@ -21,7 +21,8 @@ reaches 0.8; a component is what links reach.
    different components, through an R-tree: the list's points are packed
    into leaves with their bounding boxes, leaf pairs are pruned by the
    minima of the boxes' upper corners, and what survives is bounded pair
-   by pair.  Long lists are dealt into pairs of blocks first.
+   by pair, large sets with finer groups as well.  Long lists are dealt
+   into pairs of blocks first; lists of the same nodes are joined once.
 5. Surviving pairs are verified on the whole sets; components follow by
    label propagation with pointer jumping.
 
@@ -49,7 +50,8 @@ from .common import cut, ship
 
 WORDS = 5
 GROUPS = 64
-HOT_SHARE, HOT_LEAST = 2000, 32
+FINE = 1024             # sets from this size on also have finer groups, one for eight shingles
+HOT_SHARE, HOT_LEAST = 8000, 32
 COUNT_FLUSH = 1 << 22  # shingles counted at once in a task
 SLOTS = 1 << 20        # bits of the filter for nodes whose sets are wanted
 BLOCK, LEAF = 2048, 32
@@ -172,6 +174,34 @@ def row_key(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
 
 
+def fine_groups(s: np.ndarray) -> bytes:
+    """Counts of a large set in nested groups: a power of two of them, an eighth of its size or more."""
+    groups = 1 << (len(s) // 8 - 1).bit_length()
+    return np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype("<u4").tobytes()
+
+
+def fine_bound(x: np.ndarray, y: np.ndarray, n: np.ndarray, fine: list[bytes | None]) -> np.ndarray:
+    """Which index pairs still allow a link by the finer groups of both, folded to the coarser of the two."""
+    keep = np.ones(len(x), bool)
+    size = np.array([len(f) // 4 if f else 0 for f in fine])
+    for ga in np.unique(size[size > 0]):
+        for gb in np.unique(size[size > 0]):
+            at = np.flatnonzero((size[x] == ga) & (size[y] == gb))
+            g = min(ga, gb)
+            folded = {}
+            for i in np.unique(np.concatenate((x[at], y[at]))).tolist():
+                folded[i] = np.frombuffer(fine[i], "<u4").reshape(-1, g).sum(0, dtype=np.int64)
+            if folded:
+                rows = np.stack(list(folded.values()))
+                place = dict(zip(folded, range(len(folded)), strict=True))
+                px, py = (np.fromiter(map(place.__getitem__, v[at].tolist()), np.int64, len(at)) for v in (x, y))
+                step = max(1, (1 << 22) // int(g))
+                for k in range(0, len(at), step):
+                    low = np.minimum(rows[px[k:k + step]], rows[py[k:k + step]]).sum(1)
+                    keep[at[k:k + step]] = low >= _required(n[x[at[k:k + step]]], n[y[at[k:k + step]]])
+    return keep
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """Node, set size and group counts of every document; and counts of
     shingles that a task saw in several nodes (rows with ``shingle``)."""
@@ -180,9 +210,9 @@ def sketch(docs: DataFrame) -> DataFrame:
         ids, c = np.unique(np.concatenate(held), return_counts=True)
         ids, c = ids[c > 1], c[c > 1]
         out = pd.DataFrame({"shingle": ids.view(np.int64), "c": c.astype(np.int64)}).reindex(columns=cols)
-        return out.astype({k: "Int64" for k in cols[:5]}).assign(vec=None)
+        return out.astype({k: "Int64" for k in cols[:5]}).assign(vec=None, fine=None)
 
-    cols = ["doc_id", "row_key", "n", "node", "check", "vec", "shingle", "c"]
+    cols = ["doc_id", "row_key", "n", "node", "check", "vec", "fine", "shingle", "c"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, seen = [], 0, set()
@@ -192,6 +222,8 @@ def sketch(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "row_key": rows["row_key"], "n": sets.n,
                                 "node": sets.node, "check": sets.check})
             out["vec"] = pd.Series([v if n else None for v, n in zip(vec, sets.n, strict=True)], index=out.index, dtype=object)
+            out["fine"] = pd.Series([fine_groups(sets.of(i)) if n >= FINE else None for i, n in enumerate(sets.n.tolist())],
+                                    index=out.index, dtype=object)
             yield out.assign(shingle=pd.array([pd.NA] * len(out), "Int64"), c=pd.array([pd.NA] * len(out), "Int64"))
             for i, node in enumerate(sets.node.tolist()):
                 if sets.n[i] and node not in seen:
@@ -205,7 +237,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             yield counted(held)
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), row_key(docs).alias("row_key"))
-    return rows.mapInPandas(run, "doc_id long, row_key long, n long, node long, check long, vec array<int>, shingle long, c long")
+    return rows.mapInPandas(run, "doc_id long, row_key long, n long, node long, check long, vec array<int>, fine binary, shingle long, c long")
 
 
 def list_keys(docs: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -343,15 +375,18 @@ def tree_pairs(n: np.ndarray, vec: np.ndarray, comp: np.ndarray, side: np.ndarra
 def open_pairs(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs still to verify: of lists that span several components, by R-tree."""
     rows = lists.where("members > 2").select("key", "node", "members").join(comps, "node")
-    several = (rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key"))
+    # Lists of the same nodes (a passage shared whole) are one list: the one with the smallest key.
+    same = [F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")]
+    several = (rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), *same)
+               .where("x <> y").groupBy("s", "t", "m").agg(F.min("key").alias("key")).select("key"))
     rows = rows.join(several, "key", "left_semi")
-    points = nodes.select("node", "n", "vec")
+    points = nodes.select("node", "n", "vec", "fine")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = (rows.withColumns({"blocks": blocks, "own": own})
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
-    rows = cut(rows.join(points, "node").select("key", "i", "j", "own", "node", "n", "vec", "comp"))
+    rows = cut(rows.join(points, "node").select("key", "i", "j", "own", "node", "n", "vec", "fine", "comp"))
     tasks = max(1, -(-rows.count() // 50_000))
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
@@ -362,7 +397,8 @@ def open_pairs(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFram
                 continue
             side = (part["own"].to_numpy() == i).astype(np.int8) if i != j else None
             x, y = tree_pairs(part["n"].to_numpy(), np.stack(part["vec"].to_numpy()), part["comp"].to_numpy(), side)
-            ids = part["node"].to_numpy()
+            ok = fine_bound(x, y, part["n"].to_numpy(), part["fine"].tolist())
+            x, y, ids = x[ok], y[ok], part["node"].to_numpy()
             out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])], 1))
         found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
         return pd.DataFrame(found, columns=["a", "b"])
@@ -376,7 +412,7 @@ def _joined(docs: DataFrame) -> DataFrame:
     made = cut(sketch(docs))
     each = made.where(F.col("node").isNotNull()).select("doc_id", "row_key", "n", "node", "check")
     nodes = cut(made.where("n > 0").groupBy("node", "check", "n").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("vec").alias("vec")))
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("vec").alias("vec"), F.max("fine").alias("fine")))
     often = max(HOT_LEAST, nodes.count() // HOT_SHARE)
     hot = (made.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("c").alias("c"))
            .where(F.col("c") >= often).select("shingle").toPandas()["shingle"].to_numpy().astype(np.int64))

@@ -107,3 +107,19 @@ def test_edge_cases(make_docs):
     assert sorted(((r.doc_id or 0), r.text or "") for r in kept.collect()) == sorted(
         [(1, ""), (2, ""), (3, " \n\t"), (4, "A b"), (6, "a b c"), (7, "long " * 60_000 + "end"), (9, "x y z u v"),
          (9, "other words stand here now")])
+
+
+def test_finer_groups_bound_the_overlap_of_large_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for n in (1500, 1500, 4000, 9000)]
+    sets.append(np.unique(np.concatenate((sets[0][:1450], sets[1][:60]))))
+    sets.append(np.unique(np.concatenate((sets[2], sets[0][:400]))))
+    n, fine = np.array([len(s) for s in sets]), [J.fine_groups(s) for s in sets]
+    x, y = np.triu_indices(len(sets), 1)
+    keep = J.fine_bound(x, y, n, fine)
+    for a, b, ok in zip(x, y, keep, strict=True):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * both >= 80 * (n[a] + n[b] - both):
+            assert ok
+    assert [(a, b) for a, b, ok in zip(x.tolist(), y.tolist(), keep, strict=True) if ok and (a, b) in {(0, 1), (0, 4), (2, 5)}] == [(0, 4), (2, 5)]
+    assert J.fine_bound(x, y, n, [None] * len(sets)).all()

@@ -266,11 +266,13 @@ def list_keys(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
 
 def listed(keys: DataFrame) -> DataFrame:
-    """(key, node, leader, members) of the lists of two nodes or more."""
+    """(key, node, leader, members) of the lists of two nodes or more, every node once in a list.
+
+    Copies read by different tasks come with the same (key, node) several times."""
     whole = Window.partitionBy("key")
-    cold = (keys.where(~F.col("hot")).select("key", "node")
+    cold = (keys.where(~F.col("hot")).select("key", "node").repartition("key").dropDuplicates(["key", "node"])  # one exchange by key
             .withColumns({"leader": F.min("node").over(whole), "members": F.count("*").over(whole)}))
-    warm = keys.where("hot").select("key", "node")
+    warm = keys.where("hot").select("key", "node").distinct()
     heads = warm.groupBy(F.col("key").alias("k")).agg(F.min("node").alias("leader"), F.count("*").alias("members"))
     warm = warm.join(heads, warm["key"] == heads["k"]).select("key", "node", "leader", "members")
     return cold.unionByName(warm).where("members > 1")

@@ -82,6 +82,22 @@ def test_many_near_copies_of_one_text(make_docs):
     assert result(J.join(make_docs(docs))) == brute(docs)
 
 
+def test_copies_in_two_partitions_keep_every_list(make_docs):
+    rnd = random.Random(12)
+    docs = []
+    for f in range(24):  # a long text over two near copies: lists of three nodes whose first is often the unlinked one
+        part = [f"f{f}w{i}" for i in range(60)]
+        near = part[:-1] + ["end"]
+        far = part + [f"g{f}w{i}" for i in range(200)]
+        docs += [(len(docs) + i, " ".join(t)) for i, t in enumerate((part, near, far))]
+    rnd.shuffle(docs)
+    copies = [(d + 1000, t) for d, t in docs]
+    rows = make_docs(docs).union(make_docs(copies))  # copies in other partitions
+    lists = J.listed(J.list_keys(rows, np.empty(0, np.uint64))).toPandas()
+    assert not lists.duplicated(["key", "node"]).any()
+    assert result(J.join(rows)) == brute(docs + copies)
+
+
 def test_tree_loses_no_pair_within_the_bounds():
     rng = np.random.default_rng(3)
     vec = rng.poisson(3, (200, J.GROUPS))

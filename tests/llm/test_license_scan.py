@@ -36,6 +36,36 @@ def test_every_template_is_found_whole_and_damaged():
                 assert [h[0] for h in scanner.scan("x " + " ".join(ws[:9] + ["odd"] + ws[10:]))] == [name]
 
 
+def test_neighbours_are_told_apart():
+    scanner = L.Scanner(L.TEMPLATES, 0.85)
+
+    def found(text):
+        return [h[0] for h in scanner.scan(f"some words {text} and others")]
+    work = "This work is licensed under "
+    for text, name in [
+            (work + "the GNU General Public License, version 2", "GPL-2.0"), (work + "the GNU General Public License, version 2.0.", "GPL-2.0"),
+            (work + "the GNU General Public License, version 3", "GPL-3.0"), (work + "the GNU Lesser General Public License, version 3", "LGPL-3.0"),
+            (work + "the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"), (work + "the GNU Affero General Public License, version 3", "AGPL-3.0"),
+            ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY 3.0.", "CC-BY-3.0"),
+            (work + "a Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0"),
+            ("Licensed under the Mozilla Public License, Version 2.0.", "MPL-2.0"), ("Licensed under the Eclipse Public License, Version 2.0.", "EPL-2.0")]:
+        assert found(text) == [name], (text, found(text))
+    assert found(work + "the GNU General Public License, version 4") == []
+    assert found("Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0.") == ["CC-BY-NC-4.0", "CC-BY-4.0"]
+
+
+def test_whole_texts_are_told_apart():
+    scanner = L.Scanner(L.TEMPLATES, 0.85)
+    whole = {name: L.TEMPLATES[name][-1] for name in L.WHOLE}
+    assert len(L.words(whole["GPL-3.0"])) > 5000
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "0BSD", "MIT", "MIT-0", "GPL-2.0", "LGPL-2.0", "LGPL-2.1"):
+        ws = whole[name].split()
+        ws[len(ws) // 2] = "odd"
+        assert [h[0] for h in scanner.scan(" ".join(ws))] == [name]
+    for name in ("MIT", "BSD-3-Clause", "ISC"):  # an opening is not the license
+        assert scanner.scan(" ".join(whole[name].split()[:30])) == []
+
+
 def test_nothing_in_clean_texts(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     rows = L.scan(docs).collect()

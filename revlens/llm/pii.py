@@ -10,6 +10,13 @@ permutation depends on the key and the kind alone, so equal values of
 different documents stay equal, different ones stay different, and who
 holds the key can go back.
 
+A card or bank account number may stand next to other digits or capitals: of
+digits and separators in a row, any stretch from one separator to another is
+tried, longer ones first; an account number is tried with the length that
+its country fixes, then with other ends at separators, longer ones first,
+then from later starts.  Pseudonyms walk on while the new text would be read
+differently, so the way back finds the same stretches.
+
 Numbers that fail their validation (check digit, issuer range, octet range,
 calendar) stay as they are.
 
@@ -96,6 +103,75 @@ def issued(d: str) -> bool:
             or n == 15 and d[:2] in ("34", "37") or 16 <= n <= 19 and (d[:4] == "6011" or d[:2] == "65"))
 
 
+IBAN_LENGTHS = dict((x[:2], int(x[2:])) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+    "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split())
+_IBAN_HEAD = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}")
+_IBAN_MOST = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}")
+_CARD_RUN = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}")
+_DIGITS = re.compile(r"\d+")
+Spans = list[tuple[int, int]]
+
+
+def _free(spans: Spans, a: int, b: int) -> bool:
+    return not any(x < b and a < y for x, y in spans)
+
+
+def ibans(text: str, taken: Spans) -> Spans:
+    """Where account numbers stand in ``text``."""
+    out, done = [], 0
+    for head in _IBAN_HEAD.finditer(text):
+        if head.start() < done or not (m := _IBAN_MOST.match(text, head.start())):
+            continue
+        s, ends = "", []
+        for i, c in enumerate(m[0], m.start() + 1):
+            s += c.strip()
+            if c != " " and len(s) >= 15 and not (i < len(text) and text[i].isascii() and text[i].isalnum()):
+                ends.append((len(s) != IBAN_LENGTHS.get(s[:2]), -len(s), i))
+        for _, n, end in sorted(ends):
+            if _free(taken, m.start(), end) and int("".join(str(int(c, 36)) for c in s[4:-n] + s[:4])) % 97 == 1:
+                out.append((m.start(), end))
+                done = end
+                break
+    return out
+
+
+def cards(run: str, at: int, taken: Spans) -> Spans:
+    """Where card numbers stand in digits and separators in a row that begin at ``at`` of the text."""
+    groups = [(m.start(), m.end()) for m in _DIGITS.finditer(run)]
+    able = []
+    for i, (a, _) in enumerate(groups):
+        d = ""
+        for x, b in groups[i:]:
+            if len(d) + b - x > 19:
+                break
+            d += run[x:b]
+            if len(d) >= 13 and issued(d) and luhn_sum(d) % 10 == 0 and _free(taken, at + a, at + b):
+                able.append((-len(d), a, b))
+    out: Spans = []
+    for _, a, b in sorted(able):
+        if _free(out, a, b):
+            out.append((a, b))
+    return sorted(out)
+
+
+def _read(text: str, taken: Spans) -> tuple[Spans, Spans]:
+    """Account numbers and card numbers of ``text`` outside ``taken``."""
+    accounts = ibans(text, taken)
+    taken = taken + accounts
+    return accounts, [(m.start() + a, m.start() + b) for m in _CARD_RUN.finditer(text) for a, b in cards(m[0], m.start(), taken)]
+
+
+def _put(text: str, spans: Spans, values: list[str]) -> str:
+    out, at = [], 0
+    for (a, b), v in zip(spans, values, strict=True):
+        out += [text[at:a], v]
+        at = b
+    return "".join(out) + text[at:]
+
+
 def _relayout(layout: str, chars: str) -> str:
     """``chars`` in place of the letters and digits of ``layout``."""
     it = iter(chars)
@@ -110,11 +186,11 @@ class Pseudonyms:
         self.move = f.invert if back else f.permute
         # Bounded repeats only: a candidate starts at a digit (or at the sign, letter or
         # bracket right before one) and never scans further than its longest format.
-        self.rules: list[tuple[str, re.Pattern, Callable[[re.Match], str | None]]] = [
+        self.rules: list[tuple[str, re.Pattern, Callable[..., str | None]]] = [
             ("email", re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64})(@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9])"), self.email),
             ("secret", re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"), self.secret),
-            ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![0-9A-Za-z])"), self.iban),
-            ("card", re.compile(r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)"), self.card),
+            ("iban", _IBAN_HEAD, self.iban),  # these two: see ``ibans`` and ``cards``
+            ("card", _CARD_RUN, self.card),
             ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), self.ssn),
             ("phone", re.compile(r"(?<![\d.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"), self.phone),
             ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"), self.ip),
@@ -141,25 +217,44 @@ class Pseudonyms:
         out = format(self.move(int(s, 16), 16 ** len(s), "secret"), f"0{len(s)}x")
         return out.upper() if s.upper() == s else out
 
-    def iban(self, m: re.Match) -> str | None:
-        s = m[0].replace(" ", "")
-        if not 15 <= len(s) <= 34 or int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 != 1:
-            return None
+    def iban(self, value: str) -> str:
+        s = value.replace(" ", "")
         body = s[4:]
         radices = [10 if c.isdigit() else 26 for c in body]
         x, n = _number([int(c) if c.isdigit() else ord(c) - 65 for c in body], radices)
         new = "".join(str(d) if r == 10 else chr(65 + d) for d, r in zip(_digits(self.move(x, n, "iban"), radices), radices, strict=True))
         rest = int("".join(str(int(c, 36)) for c in new + s[:2] + "00")) % 97
-        return _relayout(m[0], f"{s[:2]}{98 - rest:02d}{new}")
+        return _relayout(value, f"{s[:2]}{98 - rest:02d}{new}")
 
-    def card(self, m: re.Match) -> str | None:
-        d = re.sub(r"[ -]", "", m[0])
-        if not issued(d) or luhn_sum(d) % 10:
-            return None
+    def card(self, value: str) -> str:
+        d = new = re.sub(r"[ -]", "", value)
         head = 1 if d[0] == "4" else 4 if d[0] == "2" else 2 if d[:2] != "60" else 4  # keeps the issuer's range
-        body = d[head:-1]
-        new = d[:head] + str(self.move(int(body), 10 ** len(body), f"card{d[:head]}")).zfill(len(body))
-        return _relayout(m[0], new + str(-luhn_sum(new + "0") % 10))
+        while True:
+            body = new[head:-1]
+            new = d[:head] + str(self.move(int(body), 10 ** len(body), f"card{d[:head]}")).zfill(len(body))
+            new += str(-luhn_sum(new + "0") % 10)
+            # With the same sum one place on, longer stretches around the card stay valid or invalid as they were.
+            if luhn_sum(new + "0") % 10 == luhn_sum(d + "0") % 10:
+                return _relayout(value, new)
+
+    def _together(self, text: str, found: list[tuple[int, int, str, str]], read: tuple[Spans, Spans]) -> list[tuple[int, int, str, str]]:
+        """``found`` with other new values where account or card numbers would be read differently in the new text.
+
+        Values in the midst of more digits or capitals walk on, all at once, until the same numbers are read."""
+        regions = [m.span() for h in _IBAN_HEAD.finditer(text) if (m := _IBAN_MOST.match(text, h.start()))]
+        regions += [m.span() for m in _CARD_RUN.finditer(text)]
+        crowd = sorted(f[:3] for f in found if any(a < f[1] and f[0] < b and (a, b) != f[:2] for a, b in regions))
+        if not crowd:
+            return found
+        firm = [(a, b) for a, b, kind, _ in found if kind in ("email", "secret")]
+        rules = {kind: (pattern, rule) for kind, pattern, rule in self.rules}
+        while True:
+            new = [rules[k][1](text[a:b] if k in ("iban", "card") else rules[k][0].match(text, a)) for a, b, k in crowd]
+            text = _put(text, [(a, b) for a, b, _ in crowd], new)
+            if _read(text, firm) == read:
+                break
+        made = dict(zip(crowd, new, strict=True))
+        return [(a, b, k, made.get((a, b, k), v)) for a, b, k, v in found]
 
     def ssn(self, m: re.Match) -> str | None:
         a, g, s = map(int, m[0].split("-"))
@@ -212,12 +307,18 @@ class Pseudonyms:
     def __call__(self, text: str) -> tuple[str, dict[str, int]]:
         found: list[tuple[int, int, str, str]] = []
         if _DIGIT.search(text) or "@" in text:
-            taken: list[tuple[int, int]] = []
+            taken: Spans = []
+            read: tuple[Spans, Spans] = [], []
             for kind, pattern, rule in self.rules:
-                if kind == "email":
-                    spots = self._emails(text, pattern)
-                else:
-                    spots = pattern.finditer(text)
+                if kind == "iban":
+                    read = _read(text, taken)
+                if kind in ("iban", "card"):
+                    found += [(a, b, kind, rule(text[a:b])) for a, b in read[kind == "card"]]
+                    taken = [(a, b) for a, b, _, _ in found]
+                    continue
+                if kind == "ip":  # all before keep their length
+                    found = self._together(text, found, read)
+                spots = self._emails(text, pattern) if kind == "email" else pattern.finditer(text)
                 for m in spots:
                     if any(a < m.end() and m.start() < b for a, b in taken):
                         continue

@@ -54,6 +54,33 @@ def test_layouts_of_one_number_stay_linked():
     assert [c for c in a if c.isdigit()][1:] == [c for c in b if c.isdigit()]
 
 
+def test_cards_and_accounts_beside_other_digits_and_capitals():
+    card, iban = "4111 1111 1111 1111", "GB82 WEST 1234 5698 7654 32"
+    for before, value, after, kind in [
+            ("card ", card, " 12/25", "card"), ("card ", card, " 123", "card"), ("5 ", card, " end", "card"), ("12-", card, "-99 1", "card"),
+            ("no ", "378282246310005", " 1234", "card"), ("7 ", "6011 1111 1111 1117", " 123", "card"),
+            ("pay ", iban, " EUR 500", "iban"), ("pay ", iban, " PLEASE PAY", "iban"), ("AB12 ", iban, " DEUTDEFF 77", "iban")]:
+        text = before + value + after
+        new, counts = NAMES(text)
+        assert counts == {kind: 1} and new.startswith(before) and new.endswith(after) and value not in new, (text, new)
+        assert BACK(new)[0] == text
+        assert NAMES(value)[0] == new[len(before):len(new) - len(after)]
+    assert NAMES(f"{card} 5500 0000 0000 0004")[1] == {"card": 2}
+
+
+def test_runs_of_digits_and_capitals_come_back():
+    rnd = random.Random(3)
+    found = 0
+    for _ in range(1500):
+        parts = [rnd.choice(["4", "65", "6011", "5500", "34", ""]) + "".join(rnd.choices("0123456789", k=rnd.choice([2, 3, 4, 4]))) for _ in range(9)]
+        words = [rnd.choice(["GB", "DE", "QQ"]) + "%02d" % rnd.randint(2, 98)] + [rnd.choice(["AB", "1234", "77", "X9"]) for _ in range(9)]
+        text = rnd.choice(" -").join(parts) + "; " + " ".join(words)
+        new, counts = NAMES(text)
+        assert BACK(new) == (text, counts)
+        found += counts.get("card", 0) + counts.get("iban", 0)
+    assert found > 300
+
+
 def test_edge_cases(spark, make_docs):
     assert pii.pseudonymise(make_docs([]), "k").collect() == []
     docs = make_docs([(1, None), (2, ""), (3, "x " * 100_000 + VALUES[0]), (4, VALUES[6]), (4, VALUES[6]), (None, "plain")])

@@ -18,7 +18,9 @@ then from later starts.  Pseudonyms walk on while the new text would be read
 differently, so the way back finds the same stretches.
 
 Numbers that fail their validation (check digit, issuer range, octet range,
-calendar) stay as they are.
+calendar) stay as they are, but for telephone numbers written with +1: those
+are permuted in their ten digits even with an area or exchange code that
+North America does not give out.  Other countries' numbers have no rule.
 
 Defined results: a null text stays null with zero counts; an empty text and
 a text without values are unchanged; repeated rows are treated alike; an
@@ -269,7 +271,12 @@ class Pseudonyms:
         d = re.sub(r"\D", "", m[0])
         lead, d = d[:-10], d[-10:]
         if d[0] in "01" or d[3] in "01":
-            return None
+            if m[0][0] != "+":
+                return None
+            while True:  # unmistakable with + and country code: permuted among numbers of this sort
+                d = f"{self.move(int(d), 10 ** 10, 'phone+'):010d}"
+                if d[0] in "01" or d[3] in "01":
+                    return _relayout(m[0], lead + d)
         radices = [8, 10, 10, 8, 10, 10, 10, 10, 10, 10]
         x, n = _number([int(c) - 2 if r == 8 else int(c) for c, r in zip(d, radices, strict=True)], radices)
         new = _digits(self.move(x, n, "phone"), radices)

@@ -81,6 +81,13 @@ def test_runs_of_digits_and_capitals_come_back():
     assert found > 300
 
 
+def test_numbers_with_plus_and_country_code_never_stay():
+    for v in ("+1 (017) 555-7713", "+1 217-155-7713", "+1.017.055.7713"):
+        new, counts = NAMES(f"call {v}, now")
+        assert counts == {"phone": 1} and v not in new and new.startswith("call +1")
+        assert BACK(new) == (f"call {v}, now", counts)
+
+
 def test_edge_cases(spark, make_docs):
     assert pii.pseudonymise(make_docs([]), "k").collect() == []
     docs = make_docs([(1, None), (2, ""), (3, "x " * 100_000 + VALUES[0]), (4, VALUES[6]), (4, VALUES[6]), (None, "plain")])

@@ -42,8 +42,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = decontam.find(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]), "left_anti")
+    # By row key, not id: rows that share an id (or have none) but not the text are separate documents.
+    key = ngram_join.row_key(docs)
+    keyed = docs.select(key.alias("doc_id"), docs["text"].alias("text"))
+    hits = decontam.find(keyed, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("hit")).distinct()
+    return docs.join(hits, key == hits["hit"], "left_anti")
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

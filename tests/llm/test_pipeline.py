@@ -62,3 +62,10 @@ def test_edge_cases(spark, make_docs, sf_small):
         empty = stage(spark, docs.where("false"), sf_small)
         assert empty.collect() == [] and empty.columns == docs.columns
     assert P.pack(spark, docs.where("false"), sf_small).collect() == []
+
+
+def test_a_contaminated_row_goes_alone(spark, make_docs, sf_small):
+    item = spark.read.parquet(f"{sf_small}/benchmark.parquet").where("text is not null").orderBy("item_id").first().text
+    docs = make_docs([(1, f"before {item} after"), (1, "a clean text with the same id"), (None, item), (None, "a clean text without an id")])
+    assert sorted(r.text for r in P.decontaminate(spark, docs, sf_small).collect()) == [
+        "a clean text with the same id", "a clean text without an id"]

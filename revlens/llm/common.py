@@ -16,13 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet below the shared checkpoint
     folder and read it back.  A lost executor then costs a re-read, not a
     recomputation, and every later use sees the same rows."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, fresh_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

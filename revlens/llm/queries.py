@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, decontam, lang_id, license_scan, ngram_join, packing, pii, sharding, token_counts, url_filter
-from .common import table
+from . import (ann, decontam, fill_in_middle, filter_audit, lang_id, license_scan, ngram_join, packing, pii, records,
+               sharding, token_counts, url_filter)
+from .common import fresh_folder, table
 
 PII_KEY = "revlens.pii.key"  # session setting that holds the pseudonym key
 
@@ -66,6 +67,24 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), packing.vocabulary("word_bpe_49k.json"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    made = fill_in_middle.restore(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+                       F.col("middle_units").alias("middle_chars"),
+                       *[F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")])
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_records(spark, sf_dir):
+    folder = fresh_folder(spark, "records")
+    records.write(table(spark, sf_dir, "documents"), folder)
+    return records.read(spark, folder).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_sharding": op2_sharding,
@@ -77,5 +96,9 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_records": op13_records,
 }
-ORACLES = {"op8_decontam": decontam.SQL, "op9_url_filter": url_filter.SQL}
+ORACLES = {"op8_decontam": decontam.SQL, "op9_url_filter": url_filter.SQL, "op11_fill_in_middle": fill_in_middle.SQL,
+           "op12_filter_audit": filter_audit.sql()}

@@ -4,8 +4,9 @@ A data file is a run of frames, one a document (little-endian):
 
     uint64 length | uint32 masked crc32c of these 8 bytes | payload | uint32 masked crc32c of the payload
 
-and a payload is int64 document id, uint32 1 if that id is given (0: null),
-and the token ids as uint32.  Each data file has an index file beside it:
+and a payload is int64 document id, uint8 1 if that id is given (0: null),
+uint8 bytes of a token id (2 where the vocabulary allows it, else 4), two zero
+bytes, uint32 number of token ids, the token ids, and zeros up to a whole word.  Each data file has an index file beside it:
 8 bytes ``MAGIC``, uint64 number of records, then for each record uint64
 offset of its frame, uint64 payload length and uint64 ids before it in the
 file, and a masked crc32c of all these entries.  A mask rotates a checksum
@@ -33,6 +34,7 @@ row numbers must be the same when a task runs again.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -49,11 +51,10 @@ from .common import ship
 
 MAGIC = b"RLINDEX1"
 ENTRY = np.dtype([("offset", "<u8"), ("length", "<u8"), ("first", "<u8")])
-HEAD = struct.Struct("<qI")        # payload: document id, whether it is given
-CACHE = 500_000                    # remembered pieces of one Python worker; emptied when full
+HEAD = struct.Struct("<qBBHI")     # payload: document id, whether it is given, bytes of a token id, 0, token ids
+CACHE = 700_000                    # remembered pieces of one Python worker; cut down to the last texts' when full
 LONG = 64                          # longer pieces are not remembered
-TOGETHER = 1 << 23                 # bytes framed, or characters encoded, in one go
-MARKS = ".,;:!?#$%&*"              # a run of these is a piece of its own
+TOGETHER = 1 << 22                 # bytes framed, or characters encoded, in one go
 FILE_ROWS = 16_384
 
 
@@ -128,12 +129,20 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # ---- frames -------------------------------------------------------------------------------------------------
 
-def payload(doc_id: int | None, ids: bytes) -> bytes:
-    return HEAD.pack(doc_id or 0, doc_id is not None) + ids
+def payload(doc_id: int | None, ids: bytes, width: int) -> bytes:
+    head = HEAD.pack(doc_id or 0, doc_id is not None, width, 0, len(ids) // width)
+    return head + ids + bytes(-len(ids) % 4)
+
+
+def opened(payload: bytes) -> tuple[int | None, bytes]:
+    """(document id, token ids as uint32) of a payload."""
+    doc_id, given, width, _, n = HEAD.unpack_from(payload)
+    ids = payload[HEAD.size:HEAD.size + n * width]
+    return doc_id if given else None, np.frombuffer(ids, "<u2").astype("<u4").tobytes() if width == 2 else ids
 
 
 def n_ids(payload: bytes) -> int:
-    return (len(payload) - HEAD.size) // 4
+    return HEAD.unpack_from(payload)[-1]
 
 
 def frames(payloads: list[bytes]) -> bytes:
@@ -212,56 +221,58 @@ def filesystem(uri: str):
 # ---- token ids ----------------------------------------------------------------------------------------------
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, by a
-    byte-level vocabulary of the tokenizers library.
+    """Ids of whole texts as little-endian bytes, by a byte-level vocabulary of
+    the tokenizers library; two bytes an id if all ids (``end_id`` too) fit.
 
     Its pieces never span a single space or line break between two
     characters that are no white space: the space begins the next piece, the
-    line break is a piece.  So a text's ids are those of its lines' words in
-    a row, and what comes again is looked up.  Texts with other white space
-    are cut only where that holds."""
+    line break is a piece, and so is a mark between a letter and white space.
+    So a text's ids are those of its lines' words and marks in a row, and what
+    comes again is looked up.  Texts with other white space are cut only
+    where that holds."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.single = regex.compile(r"(?<=\S)( |\n)(?=\S)")
+        self.single = re.compile(r"(?<=\S)[ \n](?=\S)")
+        # White space but space and line break, and the mark of the fast cuts.
+        self.odd = re.compile("[\0\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+        # Letters to every version of the tables; a mark between one and white space is a piece of its own.
+        letter = "[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+        self.joined = re.compile(rf"[,.](?<!{letter}[,.])(?=[ \n])")
+        self.word = re.compile(f" {letter}+")
+        self.width = 2 if max(self.tok.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        self.end = end_id.to_bytes(self.width, "little")
         self.known: dict[str, bytes] = {}
-        self.core: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        encode = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
-        return [np.array(e.ids, "<u4").tobytes() for e in encode(pieces, add_special_tokens=False)]
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of pieces, each with the space before it if it has one."""
-        split, plain = {}, []
-        for w in words:
-            core = w.rstrip(MARKS)
-            letters = core[1:] if core[:1] == " " else core
-            # Letters up to U+024F are letters to every version of the tables.
-            if len(core) < len(w) and letters.isalpha() and (letters.isascii() or max(letters) < "ɐ"):
-                split[w] = (core, w[len(core):])
+
+    def _learn(self, new: set[str]) -> None:
+        """Remember pieces: a space and letters many in one call (each is a
+        word of the tokenizer), all others one by one."""
+        words = [w for w in new if self.word.fullmatch(w)]
+        rest, kind, width = list(new.difference(words)), f"<u{self.width}", self.width
+        for at in range(0, len(words), 1000):
+            part = words[at:at + 1000]
+            made = self.tok.encode("".join(part), add_special_tokens=False)
+            ids, word = np.array(made.ids, kind).tobytes(), np.array(made.word_ids, np.int64)
+            ends = [0, *((np.flatnonzero(np.diff(word)) + 1) * width).tolist(), len(ids)]
+            if len(ends) == len(part) + 1:
+                self.known.update((w, ids[i:j]) for w, i, j in zip(part, ends, ends[1:], strict=False))
             else:
-                plain.append(w)
-        new = {x for pair in split.values() for x in pair}.difference(self.core)
-        plain = list({*plain}.union(new))
-        made = dict(zip(plain, self._encode(plain), strict=True))
-        self.core.update((x, made[x]) for x in new if len(x) <= LONG)
-        for w, (core, tail) in split.items():
-            made[w] = (made.get(core) or self.core[core]) + (made.get(tail) or self.core[tail])
-        return made
-
-    @staticmethod
-    def _odd(piece: str) -> bool:
-        """No line break, nor a word with at most a space before it."""
-        word = piece[1:] if piece[:1] == " " else piece
-        return piece != "\n" and (not word or word[0].isspace() or word[-1].isspace())
-
-    def _careful(self, text: str) -> list[str]:
-        """Pieces of any text: cut only between two characters that are no white space."""
+                rest += part
+        many = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
+        self.known.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(rest, many(rest, add_special_tokens=False), strict=True))
+
+    def _pieces(self, text: str) -> list[str]:
+        """Pieces whose ids in a row are the text's."""
+        if not text:
+            return []
+        alone = not any(x in text for x in ("  ", "\n\n", " \n", "\n ")) and text == text.strip(" \n")
+        if alone and not self.odd.search(text):
+            if not self.joined.search(text):
+                text = text.replace(", ", "\0, ").replace(". ", "\0. ").replace(".\n", "\0.\n")
+            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         out, at, before = [], 0, ""
         for cut in self.single.finditer(text):
             out.append(before + text[at:cut.start()])
@@ -271,44 +282,35 @@ class Encoder:
                 before = ""
         return [*out, before + text[at:]]
 
-    def _split(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
-        """Pieces of every text, whose ids in a row are the text's, and the unknown ones."""
-        split = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if t else [] for t in texts]
-        new = set().union(*split).difference(self.known)
-        # White space at a piece's end, or two in a row: the text needs careful cuts.
-        bad = {w for w in new if self._odd(w)}
-        if bad or any("\0" in t for t in texts):
-            split = [self._careful(t) if t and ("\0" in t or not bad.isdisjoint(p)) else p
-                     for t, p in zip(texts, split, strict=True)]
-            new = set().union(*split).difference(self.known)
-        return split, new
-
     def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of every text and the end id."""
         at = 0
         while at < len(texts):
             end, size = at, 0
             while end < len(texts) and (size == 0 or size + len(texts[end]) <= TOGETHER):
                 size, end = size + len(texts[end]), end + 1
-            if max(len(self.known), len(self.core)) > CACHE:
-                self.known, self.core = {}, {}
-            split, new = self._split(texts[at:end])
-            made = self._learn(new)
-            self.known.update(made)
+            split = list(map(self._pieces, texts[at:end]))
+            words = set().union(*split)
+            new = words.difference(self.known)
+            self._learn(new)
             for pieces in split:
-                yield b"".join(map(self.known.__getitem__, pieces))
-            for w in made:
-                if len(w) > LONG or self._odd(w):
-                    del self.known[w]
+                yield b"".join(map(self.known.__getitem__, pieces)) + self.end
+            if len(self.known) > CACHE:
+                self.known = {w: self.known[w] for w in words if len(w) <= LONG}
+            else:
+                for w in new:
+                    if len(w) > LONG:
+                        del self.known[w]
             at = end
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, end_id: int = 0) -> Encoder:
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -327,7 +329,7 @@ def write(docs: DataFrame, folder: str, *, tokenizer: str | None = None, end_id:
     ``folder`` in ascending doc_id; returns the manifest (stored there too):
     file number and name, records, ids, bytes and ``base``, the ids before it."""
     spark, tokenizer = docs.sparkSession, tokenizer or vocabulary()
-    folder, end = folder.rstrip("/"), np.asarray([end_id], "<u4").tobytes()
+    folder = folder.rstrip("/")
     ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,6 +337,7 @@ def write(docs: DataFrame, folder: str, *, tokenizer: str | None = None, end_id:
         offset = ids = 0
         number = TaskContext.get().partitionId()
         name = f"part-{number:06d}-{uuid.uuid4().hex}"
+        enc = encoder(tokenizer, end_id)
         fs, root = filesystem(folder)
         kept = []
         for batch in batches:
@@ -345,10 +348,10 @@ def write(docs: DataFrame, folder: str, *, tokenizer: str | None = None, end_id:
                 out = fs.open_output_stream(f"{root}/{name}.rec")
             payloads, size = [], 0
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, raw in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(texts), strict=True):
-                payloads.append(payload(doc_id, raw + end))
+            for doc_id, raw in zip(batch.column(0).to_pylist(), enc.encode(texts), strict=True):
+                payloads.append(payload(doc_id, raw, enc.width))
                 kept.append((offset, len(payloads[-1]), ids))
-                offset, ids, size = offset + 16 + len(payloads[-1]), ids + len(raw) // 4 + 1, size + len(raw)
+                offset, ids, size = offset + 16 + len(payloads[-1]), ids + len(raw) // enc.width, size + len(raw)
                 if size > TOGETHER:
                     out.write(frames(payloads))
                     payloads, size = [], 0
@@ -393,10 +396,9 @@ ARROW_ROWS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", p
 
 
 def _rows(payloads: list[bytes], starts: list[int]) -> pa.RecordBatch:
-    heads = [HEAD.unpack_from(p) for p in payloads]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([i if given else None for i, given in heads], pa.int64()), pa.array(starts, pa.int64()),
-         pa.array([p[HEAD.size:] for p in payloads], pa.binary())], schema=ARROW_ROWS)
+    parts = [opened(p) for p in payloads]
+    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int64()), pa.array(starts, pa.int64()),
+                                       pa.array([ids for _, ids in parts], pa.binary())], schema=ARROW_ROWS)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,16 +465,15 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         for batch in batches:
-            rows, got, at, size = batch.to_pylist(), [], 0, 0
-            opened = {}
+            rows, got, at, size, files = batch.to_pylist(), [], 0, 0, {}
             try:
                 for i, row in enumerate(rows):
                     where = f"{root}/{row['file']}.rec"
-                    if where not in opened:
-                        if len(opened) >= 64:
-                            opened.pop(next(iter(opened))).close()
-                        opened[where] = fs.open_input_file(where)
-                    got.append(fetch(opened[where], where, row["offset"], row["length"]))
+                    if where not in files:
+                        if len(files) >= 64:
+                            files.pop(next(iter(files))).close()
+                        files[where] = fs.open_input_file(where)
+                    got.append(fetch(files[where], where, row["offset"], row["length"]))
                     size += row["length"]
                     if size > TOGETHER or i + 1 == len(rows):
                         part = _rows(got, [r["start"] for r in rows[at:i + 1]])
@@ -480,7 +481,7 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
                                                          schema=schema)
                         got, at, size = [], i + 1, 0
             finally:
-                for f in opened.values():
+                for f in files.values():
                     f.close()
 
     return order.mapInArrow(run, ROWS + ", place long")

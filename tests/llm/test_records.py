@@ -57,20 +57,31 @@ def test_encoder_equals_the_tokenizer_on_whole_texts(tok, spark, sf_small):
     enc = records.Encoder(PATH)
     for _ in range(2):  # the second time from memory
         for text, raw in zip(texts, enc.encode([t or "" for t in texts]), strict=True):
-            assert np.frombuffer(raw, "<u4").tolist() == ids_of(tok, text)[:-1], text
+            assert np.frombuffer(raw, "<u2").tolist() == ids_of(tok, text), text
 
 
 @given(st.lists(st.text(alphabet="aB, .'\n\t é1!\0", max_size=12), max_size=6))
 @settings(max_examples=400, deadline=None)
 def test_encoder_on_random_texts(texts):
     enc = records.encoder(PATH)
-    enc.known, enc.core = {}, {}
+    enc.known = {}
     for text, raw in zip(texts, enc.encode(texts), strict=True):
-        assert np.frombuffer(raw, "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(raw, "<u2").tolist() == ids_of(enc.tok, text), text
+
+
+def test_a_small_memory_and_wide_ids_give_the_same(tok, monkeypatch):
+    texts = [t or "" for t in ODD] * 3
+    monkeypatch.setattr(records, "TOGETHER", 50)
+    monkeypatch.setattr(records, "CACHE", 5)
+    enc = records.Encoder(PATH, end_id=100_000)
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in enc.encode(texts)] == [ids_of(tok, t, 100_000) for t in texts]
 
 
 def test_frames_by_hand():
-    payload = records.HEAD.pack(-5, 1) + struct.pack("<3I", 1, 2, 0)
+    payload = records.payload(-5, struct.pack("<3H", 1, 2, 0), 2)
+    assert payload == struct.pack("<qBBHI3HH", -5, 1, 2, 0, 3, 1, 2, 0, 0)
+    assert records.opened(payload) == (-5, struct.pack("<3I", 1, 2, 0)) and records.n_ids(payload) == 3
+    assert records.opened(records.payload(None, struct.pack("<I", 70_000), 4)) == (None, struct.pack("<I", 70_000))
     data = records.frames([payload, payload[:16]])
     assert struct.unpack_from("<Q", data)[0] == len(payload) and data[12:12 + len(payload)] == payload
     mask = lambda c: ((c >> 15 | c << 17) + 0xA282EAD8) % 2**32
@@ -80,7 +91,7 @@ def test_frames_by_hand():
 
 
 def test_small_reads_and_damage(monkeypatch):
-    payloads = [records.HEAD.pack(i, 1) + struct.pack(f"<{i + 1}I", *range(i + 1)) for i in range(20)]
+    payloads = [records.payload(i, struct.pack(f"<{i + 1}I", *range(i + 1)), 4) for i in range(20)]
     data = records.frames(payloads)
     monkeypatch.setattr(records, "TOGETHER", 7)
     assert [p for block in records.scan(io.BytesIO(data), "x") for p in block] == payloads

@@ -151,6 +151,32 @@ def multilabel_metrics(df: DataFrame, pred: Column, truth: str = "truth", by: Se
         F.round("cardinality_pred", nd).alias("cardinality_pred"))
 
 
+def multilabel_rows(df: DataFrame, hits: str, n_labels: int, by: Sequence[str] = ("model",), nd: int = 6,
+                    extra: Sequence[Column] = ()) -> DataFrame:
+    """MET-4 from one row a review that holds its labels, always in the same
+    order, as an array of (t: truth, p: predicted 0/1): one aggregate of
+    counts, nothing is shuffled by review."""
+    at = [F.col(hits)[i] for i in range(n_labels)]
+    counts = [c for i, x in enumerate(at) for c in (
+        F.count_if((x["t"] == 1) & (x["p"] == 1)).alias(f"tp{i}"), F.count_if((x["t"] == 0) & (x["p"] == 1)).alias(f"fp{i}"),
+        F.count_if((x["t"] == 1) & (x["p"] == 0)).alias(f"fn{i}"))]
+    g = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg(F.forall(hits, lambda x: x["t"] == x["p"]).cast("int")).alias("subset_accuracy"),
+        *counts, *extra)
+
+    def total(name):
+        return sum((F.col(f"{name}{i}") for i in range(n_labels)), F.lit(0))
+
+    tp, fp, fn = total("tp"), total("fp"), total("fn")
+    f1 = [_ratio(2 * F.col(f"tp{i}"), 2 * F.col(f"tp{i}") + F.col(f"fp{i}") + F.col(f"fn{i}")) for i in range(n_labels)]
+    more = [c for c in g.columns if c not in {*by, "n_rows", "subset_accuracy"} and not c[:2] in ("tp", "fp", "fn")]
+    return g.select(*by, F.round(_ratio(2 * tp, 2 * tp + fp + fn), nd).alias("micro_f1"),
+                    F.round(sum(f1, F.lit(0.0)) / n_labels, nd).alias("macro_f1"), F.round("subset_accuracy", nd).alias("subset_accuracy"),
+                    F.round((fp + fn) / (F.col("n_rows") * n_labels), nd).alias("hamming_loss"),
+                    F.round((tp + fn) / F.col("n_rows"), nd).alias("cardinality_true"),
+                    F.round((tp + fp) / F.col("n_rows"), nd).alias("cardinality_pred"), *more)
+
+
 def per_label_metrics(df: DataFrame, pred: Column, truth: str = "truth", by: Sequence[str] = ("model",),
                       nd: int = 6) -> DataFrame:
     """MET-5: precision, recall, F1, support, predicted positives, frequency."""

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import rules as R
 from ..operators import metrics as M
+from ..operators import order_stats as O
 from ..operators import stats as S
+from ..session import checkpoint_dir
 from ..sources.fixtures import issue_scores, scored_reviews, u
 from . import duck as D
 from .registry import ORACLES, register
@@ -343,30 +345,74 @@ def q_top_errors(spark, d):
             .select("label", "error_type", "rank", "review_id", F.round("score", 6).alias("score")))
 
 
-@register("hybrid_routing")
-def q_hybrid_routing(spark, d, margin: float = 0.08, cap: float = 0.30):
-    """RTE-1/2: route a review to the second scorer when its smallest
-    |score − .5| margin is below ``margin``; if more than ``cap`` of rows
-    would route, route those with margin ≤ the cap-quantile (approximate
-    percentile: exact would need every margin in one task).  Reports
-    micro-F1 of each scorer and of the hybrid."""
-    s = issue_scores(spark, d)
-    per = s.groupBy("review_id").agg(F.min(F.abs(F.col("score") - 0.5)).alias("m"))
-    st = per.agg(F.avg((F.col("m") < margin).cast("double")).alias("share"),
-                 F.percentile_approx("m", cap, 10000).alias("q")).first()  # two scalars
-    rule = (F.col("m") <= F.lit(st["q"])) if st["share"] > cap else (F.col("m") < margin)
-    routed = per.select("review_id", rule.alias("routed"))
-    j = s.join(routed, "review_id")
-    hy = F.when(F.col("routed"), F.col("score2")).otherwise(F.col("score"))
-    rows = F.array(F.struct(F.lit("primary").alias("model"), (F.col("score") >= 0.5).alias("hit")),
-                   F.struct(F.lit("secondary").alias("model"), (F.col("score2") >= 0.5).alias("hit")),
-                   F.struct(F.lit("hybrid").alias("model"), (hy >= 0.5).alias("hit")))
-    ex = j.select("review_id", "label", "truth", "routed", F.inline(rows))
-    t, h = F.col("truth"), F.col("hit")
-    return ex.groupBy("model").agg(
-        F.round(2 * F.count_if((t == 1) & h) / (2 * F.count_if((t == 1) & h) + F.count_if((t == 0) & h)
-                                                + F.count_if((t == 1) & ~h)), 6).alias("micro_f1"),
-        F.round(F.count_if(F.col("routed")) / F.count(F.lit(1)), 6).alias("routed_share"))
+ROUTE_MARGIN, ROUTE_CAPS = 0.08, (0.0, 0.05, 0.30, 1.0)
+
+
+def _routing_sql() -> str:
+    def rows(cap):
+        hy = "CASE WHEN routed THEN score2 ELSE score END"
+        one = " UNION ALL ".join(
+            f"SELECT review_id, label, truth, {D.q(m)} AS model, ({s} >= threshold)::INT AS hit, routed FROM j{cap}"
+            for m, s in (("primary", "score"), ("secondary", "score2"), ("hybrid", hy)))
+        rule = {0: "false", 100: f"m < {ROUTE_MARGIN}"}.get(cap, f"CASE WHEN share > {cap / 100} THEN m <= q ELSE m < {ROUTE_MARGIN} END")
+        return f"""
+st{cap} AS (SELECT avg((m < {ROUTE_MARGIN})::INT) AS share, quantile_cont(m, {cap / 100}) AS q FROM mg),
+j{cap} AS (SELECT s.*, {rule} AS routed FROM ts s JOIN mg USING (review_id), st{cap}),
+l{cap} AS ({one}),
+pl{cap} AS (SELECT model, label, count(*) FILTER (WHERE truth = 1 AND hit = 1) AS tp, count(*) FILTER (WHERE truth = 0 AND hit = 1) AS fp,
+                 count(*) FILTER (WHERE truth = 1 AND hit = 0) AS fn FROM l{cap} GROUP BY model, label),
+lb{cap} AS (SELECT model, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, avg({r('2 * tp', '2 * tp + fp + fn')}) AS macro_f1,
+                 count(*) AS n_labels FROM pl{cap} GROUP BY model),
+pr{cap} AS (SELECT model, review_id, min((truth = hit)::INT) AS exact, sum(truth) AS ct, sum(hit) AS cp, max(routed::INT) AS routed
+          FROM l{cap} GROUP BY model, review_id),
+rw{cap} AS (SELECT model, avg(exact) AS subset_accuracy, count(*) AS n_rows, avg(ct) AS cardinality_true, avg(cp) AS cardinality_pred,
+                 sum(routed) AS n_routed FROM pr{cap} GROUP BY model)""", f"""
+SELECT {cap / 100}::DOUBLE AS cap, model, round({r('2 * tp', '2 * tp + fp + fn')}, 6) AS micro_f1, round(macro_f1, 6) AS macro_f1,
+       round(subset_accuracy, 6) AS subset_accuracy, round((fp + fn)::DOUBLE / (n_rows * n_labels)::DOUBLE, 6) AS hamming_loss,
+       round(cardinality_true, 6) AS cardinality_true, round(cardinality_pred, 6) AS cardinality_pred, n_routed::BIGINT AS n_routed
+FROM lb{cap} JOIN rw{cap} USING (model)"""
+
+    made = [rows(round(100 * c)) for c in ROUTE_CAPS]
+    split = D.u("'rsplit'")
+    return (_w(RV, IS) + f""",
+sp AS (SELECT *, {split} < 0.5 AS val FROM issue_scores),
+vs AS (SELECT * FROM sp WHERE val),""" + _thr_sql("vs") + """,
+ts AS (SELECT review_id, label, score, score2, truth, threshold FROM sp JOIN thr USING (label) WHERE NOT val),
+mg AS (SELECT review_id, min(abs(score - threshold)) AS m FROM ts GROUP BY review_id),"""
+            + ",".join(c for c, _ in made) + " UNION ALL ".join(q for _, q in made))
+
+
+@register("hybrid_routing", _routing_sql)
+def q_hybrid_routing(spark, d, margin: float = ROUTE_MARGIN, caps=ROUTE_CAPS):
+    """RTE-1/2: thresholds tuned on one half of the reviews (TUN-1); a review
+    of the other half goes to the second scorer when its smallest distance
+    to a label's threshold is below ``margin``; if that is more than ``cap``
+    of all, those up to the exact cap-quantile of the distance go (cap 0:
+    none, cap 1: no limit).  MET-4 rows of each scorer and of the hybrid."""
+    s = issue_scores(spark, d).withColumn("val", u("rsplit", F.col("review_id")) < 0.5)
+    thr = M.tune_thresholds(s.where("val")).select("label", "threshold")  # a row a label
+    # A review's labels stay in its row: no shuffle back from the long form.
+    t = (s.where("NOT val").join(F.broadcast(thr), "label")
+         .groupBy("review_id").agg(F.collect_list(F.struct("label", "score", "score2", "truth", "threshold")).alias("rows"),
+                                   F.min(F.abs(F.col("score") - F.col("threshold"))).alias("m")))
+    checkpoint_dir(spark)
+    t = t.checkpoint()  # read by every cap
+    share = t.agg(F.avg((F.col("m") < margin).cast("double"))).first()[0] or 0.0
+    over = sorted({c for c in caps if 0.0 < c < 1.0 and share > c})
+    cut = dict(zip(over, O.quantiles(t, "m", over).get((), []), strict=False)) if over else {}
+    out = None
+    for cap in caps:
+        rule = F.lit(False) if cap <= 0.0 else (F.col("m") <= cut[cap] if cap in cut else F.col("m") < margin)
+        models = F.array(*[F.struct(F.lit(name).alias("model"), F.transform("rows", hit).alias("hits")) for name, hit in (
+            ("primary", lambda x: F.struct(x["truth"].alias("t"), (x["score"] >= x["threshold"]).cast("int").alias("p"))),
+            ("secondary", lambda x: F.struct(x["truth"].alias("t"), (x["score2"] >= x["threshold"]).cast("int").alias("p"))),
+            ("hybrid", lambda x: F.struct(x["truth"].alias("t"), (F.when(F.col("routed"), x["score2"]).otherwise(x["score"])
+                                                                  >= x["threshold"]).cast("int").alias("p"))))])
+        rows = t.withColumn("rows", F.array_sort("rows")).withColumn("routed", rule).select("routed", F.inline(models))
+        made = M.multilabel_rows(rows, "hits", len(K.ISSUE_LABELS), extra=[F.count_if("routed").alias("n_routed")])
+        made = made.select(F.lit(float(cap)).alias("cap"), *made.columns)
+        out = made if out is None else out.unionByName(made)
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -519,15 +565,24 @@ def q_error_taxonomy(spark, d):
     return g.select("error_type", "taxonomy_category", "count", F.round(share, 6).alias("share"))
 
 
-@register("exact_split_sizes")
-def q_exact_split_sizes(spark, d, fractions=(0.7, 0.8)):
-    """SPL-2: stratified split with per-class cut-offs taken from the
-    approximate quantiles of the row hash (one small aggregate per class,
-    broadcast back), so split sizes track the requested fractions without
-    a global ``row_number``; rows-only (approximate quantiles)."""
+def _wide_u(tag: str) -> str:
+    """52 bits of the digest, a double without loss."""
+    return f"(('0x' || substr(md5({D.q(tag)} || '|' || review_id), 1, 13))::BIGINT)::DOUBLE"
+
+
+@register("exact_split_sizes", lambda: _w(RV, SC) + f""",
+s AS (SELECT review_id, y, {_wide_u('xsplit')} AS d FROM scored_reviews WHERE y IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY d, review_id) - 1 AS place, count(*) OVER (PARTITION BY y) AS n FROM s),
+z AS (SELECT *, CASE WHEN place < floor(n * 0.7::DOUBLE + 1e-9) THEN 'train' WHEN place < floor(n * 0.8::DOUBLE + 1e-9) THEN 'val' ELSE 'test' END AS split FROM k)
+SELECT y, split, count(*)::BIGINT AS n, min(review_id) AS first_id, max(review_id) AS last_id,
+       sum((d % 1000003)::BIGINT)::BIGINT AS draw_sum FROM z GROUP BY y, split""")
+def q_exact_split_sizes(spark, d, cuts=(0.7, 0.8)):
+    """SPL-2: stratified split of exact sizes for every class, cut at exact
+    order statistics of a 52-bit row hash; sums of the hash show which rows
+    each split holds."""
     sr = scored_reviews(spark, d).where(F.col("y").isNotNull()).select("review_id", "y")
-    hu = u("xsplit", F.col("review_id"))
-    cuts = sr.groupBy("y").agg(F.percentile_approx(hu, list(fractions), 100000).alias("q"))  # one row per class
-    j = sr.withColumn("h", hu).join(F.broadcast(cuts), "y")
-    sp = F.when(F.col("h") < F.col("q")[0], "train").when(F.col("h") < F.col("q")[1], "val").otherwise("test")
-    return j.groupBy("y", sp.alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("xsplit"), "review_id")), 1, 13), 16, 10).cast("bigint")
+    s = O.exact_split(sr.withColumn("d", draw.cast("double")), "d", "review_id", ["y"], cuts=cuts)
+    return s.groupBy("y", "split").agg(F.count(F.lit(1)).alias("n"), F.min("review_id").alias("first_id"),
+                                       F.max("review_id").alias("last_id"),
+                                       F.sum((F.col("d") % 1000003).cast("bigint")).alias("draw_sum"))

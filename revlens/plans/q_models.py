@@ -11,11 +11,17 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions.text import tokens_ws
 from ..operators import metrics as M
 from ..sources.fixtures import scored_reviews
+from . import duck as D
 from .registry import register
 
+
+def _w(*ctes):
+    return D.with_ctes(*[c() for c in ctes])
+
 WEIGHTS = {"none": (1.0, 1.0), "balanced": None, "w10": (10.0, 1.0)}
 
 
@@ -211,87 +217,159 @@ def q_chi2_weight_grid(spark, d, ks=(25, 50, 100), weights=("none", "balanced",
                       ((F.col("k") == best["k"]) & (F.col("class_weight") == best["class_weight"])).alias("chosen"))
 
 
-# FIXED VALUES: feature variants V0..V7 (word n-gram range and blocks).
-VARIANTS = [
-    ("V0", 2, False, False, False, False),
-    ("V1", 3, False, False, False, False),
-    ("V2", 2, True, False, False, False),
-    ("V3", 2, False, True, False, False),
-    ("V4", 2, True, True, False, False),
-    ("V5", 2, False, False, True, False),
-    ("V6", 2, True, False, True, False),
-    ("V7", 2, True, False, False, True),
-]
+# --------------------------------------------------------------------------
+# FEA-5, MOD-4, MOD-16: feature variants
+# --------------------------------------------------------------------------
+
+def _variant_base(spark, d, variants):
+    from ..operators import textvec as V
+    sr = scored_reviews(spark, d).where(F.col("y").isNotNull())
+    return sr.select("review_id", "split", F.col("y").cast("double").alias("label"),
+                     *[c.alias(k) for k, c in V.block_columns("text", variants).items()])
+
+
+def _blocks_sql() -> str:
+    def clause(ct, side):
+        at = f"list_position(list_transform(tk, lambda t: list_contains({D.qlist(K.TAGGER_CONTRAST_MARKERS)}, t)), true)"
+        pick = {"left": "CASE WHEN mk > 0 THEN tk[1:mk - 1] ELSE tk END", "right": "CASE WHEN mk > 0 THEN tk[mk + 1:] ELSE [] END"}[side]
+        return f"(SELECT {pick} FROM (SELECT tk, coalesce({at}, 0) AS mk FROM (SELECT {D.tokens_ws(ct)} AS tk)))"
+
+    def grams(tk, n):
+        parts = " || ".join(f"list_transform(range(1, len(tk) - {k - 2}), lambda i: array_to_string(tk[i:i + {k - 1}], ' '))" for k in range(2, n + 1))
+        return f"(SELECT tk || {parts} FROM (SELECT {tk} AS tk))"
+
+    def chars(ct):
+        return (f"(SELECT list_transform(list_filter(list_transform(range(0, length(c) * 3), lambda j: {{'i': j // 3, 'k': j % 3 + 3}}), "
+                f"lambda x: x.i + x.k <= length(c)), lambda x: substr(c, x.i + 1, x.k)) FROM (SELECT {ct} AS c))")
+
+    blocks = {f"{tag}_{name}": (expr, 1.0 if name == "char" else 0.9) for tag in ("plain", "neg") for name, expr in (
+        ("word2", grams(D.tokens_ws(tag), 2)), ("left2", grams(clause(tag, "left"), 2)), ("right2", grams(clause(tag, "right"), 2)),
+        ("char", chars(tag)))} | {"plain_word3": (grams(D.tokens_ws("plain"), 3), 0.9)}
+    unions = " UNION ALL ".join(f"SELECT review_id, {D.q(k)} AS block, {m}::DOUBLE AS max_df, unnest({e}) AS term FROM d"
+                                for k, (e, m) in blocks.items())
+    return _w(D.reviews_cte, D.scored_cte) + f""",
+d AS (SELECT review_id, {D.clean('text')} AS plain, {D.clean('text', negation=True)} AS neg FROM scored_reviews
+      WHERE y IS NOT NULL AND split = 'train'),
+n AS (SELECT count(*) AS n FROM d),
+x AS ({unions}),
+t AS (SELECT block, max_df, term, count(DISTINCT review_id) AS df, count(*) AS cf FROM x GROUP BY 1, 2, 3),
+v AS (SELECT block, term, df, cf, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE AS idf FROM t, n WHERE df >= 2 AND df <= max_df * n
+      QUALIFY row_number() OVER (PARTITION BY block ORDER BY cf DESC, term) <= 50000)
+SELECT block, count(*)::BIGINT AS terms, sum(df)::BIGINT AS df, sum(cf)::BIGINT AS cf, round(sum(idf), 4) AS idf,
+       min(term) AS first_term, max(term) AS last_term FROM v GROUP BY block"""
+
+
+@register("variant_vocabulary", _blocks_sql)
+def q_variant_vocabulary(spark, d):
+    """FEA-5: the fitted vocabulary of every TF-IDF block of the variants
+    V0..V7 (terms, document and corpus counts, sum of idf)."""
+    from ..operators import textvec as V
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    train = _variant_base(spark, d, list(V.VARIANTS)).where(F.col("split") == "train").checkpoint()  # read by nine blocks
+    out = None
+    for name, max_df in sorted({b for v in V.VARIANTS for b in V.variant_blocks(v)}):
+        t = V.term_table(train, name, max_df=max_df)
+        t = t.agg(F.lit(name).alias("block"), F.count(F.lit(1)).alias("terms"), F.sum("df").alias("df"), F.sum("cf").alias("cf"),
+                  F.round(F.sum("idf"), 4).alias("idf"), F.min("term").alias("first_term"), F.max("term").alias("last_term"))
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 @register("variant_sweep")
-def q_variant_sweep(spark, d, num_features: int = 1 << 12, variants=None):
+def q_variant_sweep(spark, d, variants=None):
     """MOD-4: the eight context-feature variants (word n-grams, negation
-    tags, clause split with contrast flags, character 3-5-grams, six
-    lexicon features), one balanced-weight LR per variant fitted on train,
-    MET-1 rows on validation.  Every block column is built once into a
-    checkpointed frame shared by the eight fits.  ``variants`` picks a
-    subset (MOD-16 ablation: ``["V0", "V2", "V5", "V6", "V7"]``)."""
-    from pyspark.ml.feature import HashingTF, VectorAssembler
-    from ..functions import lexicon as L
-    from ..functions import text as T
-    from ..operators.features import word_ngrams
+    tags, clause split with contrast flags, character 3-5-grams, six lexicon
+    features) as TF-IDF blocks fitted on train, one balanced-weight LR each;
+    MET-1 rows on validation and test.  ``variants`` picks a subset (MOD-16
+    ablation: ``["V0", "V2", "V5", "V6", "V7"]``)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector
+    from ..operators import textvec as V
+    from ..operators.training import side_by_side
     from ..session import checkpoint_dir
     checkpoint_dir(spark)
-    sr = scored_reviews(spark, d).where(F.col("y").isNotNull())
-    plain = F.col("clean_text")
-    neg = T.clean_text(F.col("text"), negation=True)
-    sp = T.contrast_split(plain)
-    n = F.length(plain)
-    starts = F.sequence(F.lit(0), F.greatest(n * 3 - 1, F.lit(0)))
-    chars = F.transform(F.filter(F.transform(starts, lambda j: F.struct(
-        F.substring(plain, (F.floor(j / 3) + 1).cast("int"), (j % 3 + 3).cast("int")).alias("g"),
-        (F.floor(j / 3) + j % 3 + 3 <= n).alias("ok"))), lambda x: x["ok"] & (n > 0)), lambda x: x["g"])
-    base = sr.select(
-        "split", F.col("y").cast("double").alias("label"),
-        word_ngrams(tokens_ws(plain), 2).alias("w12"), word_ngrams(tokens_ws(plain), 3).alias("w13"),
-        word_ngrams(tokens_ws(neg), 2).alias("n12"),
-        F.transform(word_ngrams(tokens_ws(sp["left"]), 2), lambda t: F.concat(F.lit("L_"), t)).alias("left12"),
-        F.transform(word_ngrams(tokens_ws(sp["right"]), 2), lambda t: F.concat(F.lit("R_"), t)).alias("right12"),
-        F.array(*[c.cast("double") for c in T.contrast_flags(plain)]).alias("flags"),
-        chars.alias("c35"), F.array(*L.sentiment_features(F.col("text"))).alias("lex")).checkpoint()
-    counts = {r["label"]: r["count"] for r in base.where(F.col("split") == "train").groupBy("label").count().collect()}
+    names = [v for v in V.VARIANTS if not variants or v in variants]
+    base = _variant_base(spark, d, names).checkpoint()  # read by every fit
+    train = base.where(F.col("split") == "train")
+    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}  # two scalars
     tot = sum(counts.values())
-    w0, w1 = tot / (2.0 * counts[0.0]), tot / (2.0 * counts[1.0])
-    from pyspark.ml.functions import array_to_vector
-    frame = base.select("*", array_to_vector("flags").alias("flags_v"), array_to_vector("lex").alias("lex_v"),
-                        F.when(F.col("label") == 0.0, w0).otherwise(w1).alias("w"))
-    rows = []
-    for name, hi, use_neg, use_clause, use_char, use_lex in VARIANTS:
-        if variants and name not in variants:
-            continue
-        cols = []
-        stages = frame
-        if use_clause:
-            for c in ("left12", "right12"):
-                stages = HashingTF(inputCol=c, outputCol=f"h_{c}", numFeatures=num_features).transform(stages)
-                cols.append(f"h_{c}")
-            cols.append("flags_v")
-        else:
-            src = "n12" if use_neg else ("w13" if hi == 3 else "w12")
-            stages = HashingTF(inputCol=src, outputCol="h_word", numFeatures=num_features).transform(stages)
-            cols.append("h_word")
-        if use_char:
-            stages = HashingTF(inputCol="c35", outputCol="h_char", numFeatures=num_features).transform(stages)
-            cols.append("h_char")
-        if use_lex:
-            cols.append("lex_v")
-        feats = VectorAssembler(inputCols=cols, outputCol="features").transform(stages)
-        m = LogisticRegression(weightCol="w", maxIter=50, regParam=1e-3, standardization=False).fit(
+    weight = F.when(F.col("label") == 0.0, tot / (2.0 * counts[0.0])).otherwise(tot / (2.0 * counts[1.0]))
+    fitted = {b: V.fit_block(train, b, f"v_{b}", max_df=m) for b, m in sorted({b for v in names for b in V.variant_blocks(v)})}
+
+    def fit(name):
+        dense = V.dense_columns(name)
+        frame = base.withColumns({f"v_{c}": array_to_vector(c) for c in dense}) if dense else base
+        inputs = [f"v_{b}" for b, _ in V.variant_blocks(name)] + [f"v_{c}" for c in dense]
+        stages = [s for b, _ in V.variant_blocks(name) for s in fitted[b]]
+        feats = PipelineModel([*stages, VectorAssembler(inputCols=inputs, outputCol="features")]).transform(frame) \
+            .select("split", "label", weight.alias("w"), "features")
+        m = LogisticRegression(weightCol="w", maxIter=50, tol=1e-4, regParam=1.0 / tot, standardization=False).fit(
             feats.where(F.col("split") == "train"))
-        rows.append(m.transform(feats.where(F.col("split") == "val")).select(
-            F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob")))
+        return m.transform(feats.where(F.col("split") != "train")).select(
+            F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"), F.col("prediction").alias("prob"))
+
+    rows = side_by_side(spark, fit, names)
     allr = rows[0]
     for r in rows[1:]:
         allr = allr.unionByName(r)
     return M.binary_metrics(allr)
 
 
+# --------------------------------------------------------------------------
+# MOD-13, MOD-5, SET-4, MOD-14: training driver and scoring with its bundles
+# --------------------------------------------------------------------------
+
+def _training_folder(spark, d, name: str) -> str:
+    """One folder an application and input: queries share a finished training."""
+    import zlib
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/training-{zlib.crc32(d.rstrip('/').encode()):08x}/{name}"
+
+
+def issue_training(spark, d):
+    """The training job of the issue labels over all reviews with a text."""
+    from ..operators.training import Training
+    from ..sources.fixtures import reviews, u, with_issue_truth
+    from ..sources.tables import fence
+    rid = F.col("review_id")
+    us = u("split", rid)
+    rows = fence(with_issue_truth(reviews(spark, d).select("review_id", "text"))).select(
+        "review_id", F.when(us < 0.7, "train").when(us < 0.8, "val").otherwise("test").alias("split"), "text",
+        *[F.col(f"_truth_{lb}").cast("int").alias(lb) for lb in K.ISSUE_LABELS])
+    return Training(spark, rows, _training_folder(spark, d, "issues"), max_iter=30)
+
+
+def sentiment_training(spark, d):
+    """The training job of the strong sentiment label."""
+    from ..operators.training import Training
+    rows = scored_reviews(spark, d).where(F.col("y").isNotNull()).select("review_id", "split", "text", F.col("y").alias("positive"))
+    return Training(spark, rows, _training_folder(spark, d, "sentiment"), labels=["positive"], keep_unlabelled=True, max_iter=30)
+
+
+@register("issue_training_report")
+def q_issue_training_report(spark, d):
+    """MOD-13: feature selection, class weights, LR and SVM per label, blend,
+    thresholds, baselines and choice of the model, refit on train + val
+    (SET-4); every metric and every choice as a row."""
+    return issue_training(spark, d).run()
+
+
+@register("scored_predictions")
+def q_scored_predictions(spark, d):
+    """MOD-14: every review with a text scored by the stored bundles: sentiment
+    probability, cascade, trained issue labels above their thresholds."""
+    from ..operators.training import Bundle
+    from ..streaming.streams import score_rows
+    sentiment, issues = (Bundle(spark, t(spark, d).bundle()) for t in (sentiment_training, issue_training))
+    rows = scored_reviews(spark, d).select("review_id", "rating", "text", "clean_text", "nnz")
+    s = score_rows(rows, sentiment, issues)
+    return s.select("review_id", "label", F.round("probability", 6).alias("probability"), "risk_score", "issue_model_status",
+                    F.array_join(F.transform("issue_rows", lambda x: x["label"]), "|").alias("issues"))
+
+
 @register("labelwise_class_weights")
 def q_labelwise_class_weights(spark, d, num_features: int = 1 << 12, schemes=("none", "balanced")):
     """MOD-12: per issue label, fit one LR per class-weight scheme on train

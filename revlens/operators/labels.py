@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.text import normalize_id
+from ..sources.tables import fence
 
 
 def coerce_label(c: Column) -> Column:
@@ -24,7 +25,8 @@ def coerce_label(c: Column) -> Column:
 
 def with_coerced_labels(df: DataFrame, labels=K.ISSUE_LABELS) -> DataFrame:
     """Adds ``_v_<label>`` (double or NULL) and ``labels_complete``."""
-    out = df.select("*", *[coerce_label(F.col(lb)).alias(f"_v_{lb}") for lb in labels])
+    # Fenced: filters and sums read every value several times and must not parse it again.
+    out = fence(df.select("*", *[coerce_label(F.col(lb)).alias(f"_v_{lb}") for lb in labels]))
     ok = F.lit(True)
     for lb in labels:
         ok = ok & F.coalesce(F.col(f"_v_{lb}").isin(0.0, 1.0), F.lit(False))
@@ -178,9 +180,10 @@ def drop_counts(df: DataFrame, strict_other: bool = False, labels=K.ISSUE_LABELS
 
 def label_frequency(df: DataFrame, labels=K.ISSUE_LABELS) -> DataFrame:
     """AGG-7: per label positives and prevalence among complete rows."""
-    d = with_coerced_labels(df, labels).where(F.col("labels_complete"))
-    one = d.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(F.col(f"_v_{lb}")).alias(f"_p{i}") for i, lb in enumerate(labels)])
-    rows = F.array(*[F.struct(F.lit(lb).alias("label"), F.col(f"_p{i}").cast("bigint").alias("positives"),
+    d = with_coerced_labels(df, labels).select("labels_complete", F.array(*[F.col(f"_v_{lb}") for lb in labels]).alias("_v"))
+    ok = F.col("labels_complete")
+    one = fence(d).agg(F.count_if(ok).alias("_n"), *[F.count_if(ok & (F.col("_v")[i] == 1.0)).alias(f"_p{i}") for i in range(len(labels))])
+    rows = F.array(*[F.struct(F.lit(lb).alias("label"), F.col(f"_p{i}").alias("positives"),
                               F.round(F.col(f"_p{i}") / F.greatest(F.col("_n"), F.lit(1)), 6).alias("prevalence"))
                      for i, lb in enumerate(labels)])
     return one.select(F.inline(rows))

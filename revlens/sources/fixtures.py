@@ -175,13 +175,15 @@ def label_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     def hc(tag):
         return h(F.concat(F.lit(tag), c), rid)
 
-    ex = with_issue_truth(ex)
+    # Draws and truths are staged and fenced: the cells read each of them several times.
+    ex = fence(with_issue_truth(ex).select("*", *[u(F.concat(F.lit(f"l_{lb}_"), c), rid).alias(f"_u_{lb}") for lb in K.ISSUE_LABELS]),
+               "review_id")
     ann_id = h("id", rid).cast("string")
     spelt = (F.when(hc("w") % 3 == 0, ann_id).when(hc("w") % 3 == 1, F.concat(ann_id, F.lit(".0")))
              .otherwise(F.concat(F.lit(" "), ann_id, F.lit(" "))))
     label_cols = []
     for lb in K.ISSUE_LABELS:
-        v = u(F.concat(F.lit(f"l_{lb}_"), c), rid)
+        v = F.col(f"_u_{lb}")
         t = F.col(f"_truth_{lb}").cast("int")
         cell = (F.when(v < 0.01, F.lit("2")).when(v < 0.03, F.lit(None).cast("string"))
                 .when(v < 0.08, (F.lit(1) - t).cast("string")).otherwise(t.cast("string")))

@@ -1,5 +1,7 @@
 """Plan properties: no Python in the text hot path, pruned scans."""
 
+import pytest
+
 import __spark_entry__ as E
 
 
@@ -18,3 +20,17 @@ def test_review_scan_reads_only_needed_columns(spark, sf_small):
     p = _plan(E.queries()["clean_text"](spark, sf_small))
     scan = [line for line in p.split("\n") if "FileScan parquet" in line][0]
     assert "l_extendedprice" not in scan and "l_returnflag" not in scan
+
+
+@pytest.mark.parametrize("name", ["batch_merge_dedup", "batch_conflicts", "labelled_set", "label_frequency", "labelled_drops"])
+def test_label_stages_compile(spark, sf_small, name):
+    """No stage falls back to the interpreter."""
+    conf = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        E.queries()[name](spark, sf_small).write.format("noop").mode("overwrite").save()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,11 +1,11 @@
 """Resampling and significance (STA-1..3), plus similarity scoring (MOD-15,
 HIT-1) on embedding arrays.
 
-Bootstrap: each row gets a Poisson(1) weight per replicate from md5 of
-(row id, replicate) by inverse CDF.  ``explode(sequence(1, B))`` is
-map-side and is followed immediately by a partial aggregation keyed by
-replicate, so only B × (a few counts) cross the shuffle; the quantiles
-are then exact over B values per group.
+Bootstrap: a metric reads rows only through how many there are of each
+(truth, decision a, decision b), so rows are counted once into at most eight
+cells and a replicate draws each cell's Poisson(n) instead of n rows' weights.
+Time after that one aggregate does not depend on the rows; the quantiles are
+exact over B values a metric.
 """
 
 from __future__ import annotations
@@ -52,18 +52,76 @@ def metric_from_counts(name: str, tp0: Column, fp0: Column, fn0: Column) -> Colu
 METRICS = ["recall_0", "precision_0", "f2_0"]
 
 
-def replicate_weights(df: DataFrame, id_col: str, replicates: int) -> DataFrame:
-    rep = F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep")
-    ex = df.select("*", rep)
-    return ex.withColumn("w", poisson1(u(F.concat(F.lit("boot"), F.col("rep").cast("string")), F.col(id_col))))
+SMALL_CELL = 32  # up to here a cell's draw is the sum of its rows' Poisson(1) draws
 
+# FIXED VALUES: rational approximation of the normal quantile (P. J. Acklam, relative error below 1.2e-9).
+QUANTILE_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02,
+              -3.066479806614716e+01, 2.506628277459239e+00]
+QUANTILE_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01,
+              -1.328068155288572e+01]
+QUANTILE_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00,
+              4.374664141464968e+00, 2.938163982698783e+00]
+QUANTILE_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+QUANTILE_LOW = 0.02425
 
-def bootstrap_ci(df: DataFrame, y: str, pred: str, id_col: str = "review_id", replicates: int = 200,
-                 metrics=METRICS) -> DataFrame:
+
+def normal_quantile(p: Column) -> Column:
+    def poly(cs, x):
+        out = F.lit(cs[0])
+        for c in cs[1:]:
+            out = out * x + F.lit(c)
+        return out
+
+    def tail(q):
+        return poly(QUANTILE_C, q) / (poly(QUANTILE_D, q) * q + F.lit(1.0))
+
+    mid = p - F.lit(0.5)
+    r = mid * mid
+    return (F.when(p < QUANTILE_LOW, tail(F.sqrt(F.lit(-2.0) * F.log(p))))
+            .when(p > 1.0 - QUANTILE_LOW, -tail(F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - p))))
+            .otherwise(poly(QUANTILE_A, r) * mid / (poly(QUANTILE_B, r) * r + F.lit(1.0))))
+
+
+def poisson_quantile(n: Column, p: Column) -> Column:
+    """Quantile of Poisson(n) for n above ``SMALL_CELL``: Cornish-Fisher to the third order, at most 1 off."""
+    def at(z):
+        n1 = F.sqrt(n.cast("double"))
+        x = n.cast("double") + n1 * z + (z * z - F.lit(1.0)) / F.lit(6.0) + (z - z * z * z) / (F.lit(72.0) * n1)
+        return F.greatest(F.lit(0), F.floor(x + F.lit(0.5)).cast("bigint"))
+
+    return let(normal_quantile(p), at)
+
+
+def poisson(n: Column, tag: Column, key: Column) -> Column:
+    """A Poisson(n) draw from md5 of (tag, key)."""
+    def draw(i):
+        return u(F.concat(tag, F.lit("_"), i.cast("string")), key) + F.lit(0.5 / 4294967296.0)
+
+    rows = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(n, F.lit(SMALL_CELL))).cast("int")), draw)
+    few = F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, x: a + poisson1(x).cast("bigint"))
+    many = let(draw(F.lit(0)), lambda p: poisson_quantile(n, p))
+    return F.when(n <= 0, F.lit(0).cast("bigint")).when(n <= SMALL_CELL, few).otherwise(many)
+
+
+def cells(df: DataFrame, y: str, pred_a: str, pred_b: str | None = None) -> DataFrame:
+    """Rows of each (y, a, b): at most eight."""
+    b = F.col(pred_b) if pred_b else F.lit(0)
+    return (df.groupBy(F.col(y).cast("int").alias("y"), F.col(pred_a).cast("int").alias("a"), b.cast("int").alias("b"))
+            .agg(F.count(F.lit(1)).alias("n")).where("y IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL"))
+
+
+def replicate_cells(counts: DataFrame, replicates: int) -> DataFrame:
+    """rep, y, a, b and w, the drawn count, of every replicate and cell."""
+    ex = counts.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    return ex.withColumn("w", poisson(F.col("n"), F.concat(F.lit("boot"), F.col("rep").cast("string")),
+                                      F.concat(*[F.col(c).cast("string") for c in ("y", "a", "b")])))
+
+
+def bootstrap_ci(df: DataFrame, y: str, pred: str, replicates: int = 1000, metrics=METRICS) -> DataFrame:
     """STA-1: point estimate and 95 % percentile interval per metric."""
-    point = df.agg(*_weighted_counts(F.col(y), F.col(pred), F.lit(1)))
-    reps = replicate_weights(df, id_col, replicates).groupBy("rep").agg(
-        *_weighted_counts(F.col(y), F.col(pred), F.col("w")))
+    counts = cells(df, y, pred)
+    point = counts.agg(*_weighted_counts(F.col("y"), F.col("a"), F.col("n")))
+    reps = replicate_cells(counts, replicates).groupBy("rep").agg(*_weighted_counts(F.col("y"), F.col("a"), F.col("w")))
     vals = reps.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), metric_from_counts(
         m, F.col("tp0"), F.col("fp0"), F.col("fn0")).alias("v")) for m in metrics])))
     ci = vals.groupBy("metric").agg(F.round(F.percentile("v", 0.025), 6).alias("ci_low"),
@@ -73,13 +131,15 @@ def bootstrap_ci(df: DataFrame, y: str, pred: str, id_col: str = "review_id", re
     return pts.join(ci, "metric")
 
 
-def paired_bootstrap(df: DataFrame, y: str, pred_a: str, pred_b: str, id_col: str = "review_id",
-                     replicates: int = 200, metrics=METRICS) -> DataFrame:
-    """STA-2: CI of metric(a) − metric(b) with shared replicate weights."""
-    yy = F.col(y)
-    reps = replicate_weights(df, id_col, replicates).groupBy("rep").agg(
-        *_weighted_counts(yy, F.col(pred_a), F.col("w"), "_a"), *_weighted_counts(yy, F.col(pred_b), F.col("w"), "_b"))
-    point = df.agg(*_weighted_counts(yy, F.col(pred_a), F.lit(1), "_a"), *_weighted_counts(yy, F.col(pred_b), F.lit(1), "_b"))
+def paired_bootstrap(df: DataFrame, y: str, pred_a: str, pred_b: str, replicates: int = 1000, metrics=METRICS) -> DataFrame:
+    """STA-2: CI of metric(a) − metric(b) with shared draws."""
+    counts, yy = cells(df, y, pred_a, pred_b), F.col("y")
+
+    def both(w):
+        return [*_weighted_counts(yy, F.col("a"), w, "_a"), *_weighted_counts(yy, F.col("b"), w, "_b")]
+
+    reps = replicate_cells(counts, replicates).groupBy("rep").agg(*both(F.col("w")))
+    point = counts.agg(*both(F.col("n")))
 
     def diff(m):
         return (metric_from_counts(m, F.col("tp0_a"), F.col("fp0_a"), F.col("fn0_a"))

@@ -18,6 +18,7 @@ ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, ship
 
-CACHE = 500_000  # remembered words of one Python worker; emptied when full
+CACHE = 500_000  # remembered words of one Python worker; cut down to the last texts' when full
 LONG = 64        # longer words are not remembered
 TOGETHER = 1 << 21  # characters encoded in one go
 MARKS = ".,;:!?#$%&*"  # no letter, number or apostrophe: never part of a letter word's piece
@@ -52,6 +53,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok, self.known, self.letters, self.marks = Tokenizer.from_file(path), {"": b""}, {}, {"": b""}
+        self.lone = re.compile("[,.](?<![a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][,.])(?= )")
 
     def _ids(self, word: str) -> bytes:
         return np.asarray(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
@@ -72,7 +74,8 @@ class Encoder:
         split, out = {}, {}
         for w in words:
             core = w.rstrip(MARKS)
-            if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+            # U+0130 lower-cases to a letter and a mark, which joins the marks after it.
+            if core.isalpha() and (core.isascii() or max(core) < "\u0250" and "\u0130" not in core):
                 split[w] = (core.lower(), w[len(core):])
             else:
                 out[w] = self._ids(w)
@@ -83,16 +86,22 @@ class Encoder:
             out[w] = self.letters[core] + self.marks[tail]
         return out
 
+    def _words(self, text: str) -> list[str]:
+        """What stands between spaces, a comma or full stop between a letter and a space on its own."""
+        text = text.replace("\n", " ")
+        if not self.lone.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         at = 0
         while at < len(texts):
             end, size = at, 0
             while end < len(texts) and (size == 0 or size + len(texts[end]) <= TOGETHER):
                 size, end = size + len(texts[end]), end + 1
-            if max(len(self.known), len(self.letters), len(self.marks)) > CACHE:
-                self.known, self.letters, self.marks = {"": b""}, {}, {"": b""}
-            split = [t.replace("\n", " ").split(" ") for t in texts[at:end]]
-            new = set().union(*split).difference(self.known)
+            split = list(map(self._words, texts[at:end]))
+            words = set().union(*split)
+            new = words.difference(self.known)
             made = self._learn(new)
             self.known.update(made)
             for words in split:
@@ -100,6 +109,9 @@ class Encoder:
             for w in made:
                 if len(w) > LONG:
                     del self.known[w]
+            if max(len(self.known), len(self.letters), len(self.marks)) > CACHE:
+                self.known = {"": b""} | {w: self.known[w] for w in words if w in self.known}
+                self.letters, self.marks = {}, {"": b""}
             at = end
 
 

@@ -11,7 +11,7 @@ from revlens.llm import packing
 
 PATH = packing.vocabulary("word_bpe_49k.json")
 ODD = ["İstanbul ISTANBUL's don't  x\t y　z é ́a ﬁ Ǆ 北京 ΣΑΣ don't.. !!...a1b2 <|endoftext|>x", "", " ", None,
-       "\n\n a", "a\x0bb\x1cc", "Ünï.,cöde'S 'RE 're", "K Å", "word " * 5000, "z" * 3000]
+       "\n\n a", "a\x0bb\x1cc", "Ünï.,cöde'S 'RE 're", "K Å", "word " * 5000, "z" * 3000, "a, b. c,. d.. é, ×, a×, 1, _, x. ɐ, İ, y", "end. ", "a,\n b.\n"]
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +86,11 @@ def test_edge_cases(make_docs):
                         .withColumns({c: F.lit("x") for c in ("row", "grp", "length", "offset")})).collect()
     assert sorted((r.doc_id or -1, r.doc_tokens) for r in rows) == [(-1, 1), (3, 2), (3, 2)]
     assert len({(r.sequence_id, r.offset) for r in rows}) == 3
+
+
+def test_a_small_memory_gives_the_same(tok, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 4)
+    monkeypatch.setattr(packing, "TOGETHER", 40)
+    texts = [t or "" for t in ODD] * 2
+    for text, raw in zip(texts, packing.Encoder(PATH).encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids

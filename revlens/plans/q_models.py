@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.text import tokens_ws
+from ..functions.text import clean_text, tokens_ws
 from ..operators import metrics as M
 from ..sources.fixtures import scored_reviews
+from ..sources.tables import fence
 from . import duck as D
 from .registry import register
 
@@ -150,28 +152,137 @@ def q_calibration(spark, d):
                    F.round(F.avg(sq("p_platt")), 6).alias("brier_platt"), F.round(F.avg(sq("p_iso")), 6).alias("brier_isotonic"))
 
 
+def _train_truth(spark, d):
+    from ..sources.fixtures import issue_scores, u
+    return issue_scores(spark, d).select("review_id", "label", F.col("truth").alias("y")).where(u("split", F.col("review_id")) < 0.7)
+
+
+def _calibration_folds_sql():
+    sizes = " ".join(f"WHEN place < n * {i + 1} // k THEN {i}" for i in range(3))
+    return _w(D.reviews_cte, D.issue_scores_cte) + f""",
+t AS (SELECT review_id, label, truth AS y, (('0x' || substr(md5(label || '|' || review_id), 1, 13))::BIGINT) AS d
+      FROM issue_scores WHERE {D.u(D.q('split'))} < 0.7),
+c AS (SELECT label, least(sum(y), count(*) - sum(y)) AS smaller FROM t GROUP BY label),
+p AS (SELECT t.*, CASE WHEN smaller >= 2 THEN least(3, smaller) END AS k, count(*) OVER (PARTITION BY t.label, y) AS n,
+             row_number() OVER (PARTITION BY t.label, y ORDER BY d, review_id) - 1 AS place FROM t JOIN c ON t.label = c.label),
+f AS (SELECT *, CASE WHEN k IS NULL THEN NULL {sizes} END AS fold FROM p)
+SELECT label, y, fold::INT AS fold, count(*)::BIGINT AS n, min(review_id) AS first_id, max(review_id) AS last_id,
+       sum(d % 1000003)::BIGINT AS draw_sum FROM f GROUP BY label, y, fold"""
+
+
+@register("calibration_folds", _calibration_folds_sql)
+def q_calibration_folds(spark, d):
+    """MOD-11: the stratified folds of every issue label on train, with sums of
+    the row hash that show which rows each fold holds."""
+    from ..operators import calibration as C
+    t = C.with_folds(_train_truth(spark, d), "review_id")
+    draw = C.fold_draw("review_id", F.col("label")).cast("bigint")
+    return t.groupBy("label", "y", "fold").agg(F.count(F.lit(1)).alias("n"), F.min("review_id").alias("first_id"),
+                                               F.max("review_id").alias("last_id"), F.sum(draw % 1000003).alias("draw_sum"))
+
+
+@register("issue_calibration")
+def q_issue_calibration(spark, d, num_features: int = 1 << 12):
+    """MOD-11: every issue label calibrated out of fold on train (sigmoid and
+    isotonic, at most three folds); Brier scores on test."""
+    from ..operators import calibration as C
+    from ..operators.training import side_by_side
+    from ..session import checkpoint_dir
+    from ..sources.fixtures import issue_scores, reviews, u
+    checkpoint_dir(spark)
+    rv = fence(reviews(spark, d).select("review_id", tokens_ws(clean_text(F.col("text"))).alias("tokens"),
+                                        u("split", F.col("review_id")).alias("s")))
+    v = HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features).transform(rv.where(F.col("tokens").isNotNull()))
+    fold = (C.with_folds(_train_truth(spark, d), "review_id").groupBy("review_id").pivot("label", K.ISSUE_LABELS).agg(F.max("fold")))
+    folds = fold.select("review_id", *[F.col(lb).alias(f"fold_{lb}") for lb in K.ISSUE_LABELS])
+    truth = issue_scores(spark, d).groupBy("review_id").pivot("label", K.ISSUE_LABELS).agg(F.max("truth"))
+    frame = v.drop("tokens").join(truth, "review_id").join(folds, "review_id", "left").checkpoint()  # read by every fit
+    train, test = frame.where("s < 0.7"), frame.where("s >= 0.8")
+
+    def one(lb):
+        made = C.fit(train.select("features", F.col(lb).alias("y"), F.col(f"fold_{lb}").alias("fold")))
+        scored = made.transform(test.select("features", F.col(lb).cast("double").alias("y")))
+        brier = [F.round(F.avg(F.pow(F.col(p) - F.col("y"), 2)), 6).alias(f"brier_{p[2:]}") for p in ("p_raw", "p_sigmoid", "p_isotonic")]
+        return scored.agg(F.lit(lb).alias("label"), F.lit(made.note).alias("note"), F.count(F.lit(1)).alias("n"), *brier)
+
+    rows = side_by_side(spark, one, K.ISSUE_LABELS)
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def tfidf_vectors(spark, d):
+    """Stored rows with the word TF-IDF vector fitted on train, and its width."""
+    from pyspark.ml import PipelineModel
+    from ..operators import textvec as V
+    from ..operators.features import word_ngrams
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    sr = scored_reviews(spark, d).where(F.col("y").isNotNull())
+    base = fence(sr.select("review_id", "split", F.col("y").cast("double").alias("label"),
+                           word_ngrams(tokens_ws(F.col("clean_text")), 2).alias("terms")))
+    stages = V.fit_block(base.where(F.col("split") == "train"), "terms", "features")
+    rows = PipelineModel(stages).transform(base).select("review_id", "split", "label", "features")
+    return rows.checkpoint(), len(stages[0].vocabulary)  # read by every fit
+
+
 @register("svd_mlp")
-def q_svd_mlp(spark, d, dims: int = 32):
-    """FEA-9 + MOD-9: project hashed review features onto ``dims``
-    principal components (distributed Gramian, dims × features result),
-    then fit a feed-forward network and an LR on the projection; MET-1
-    rows on the test split."""
+def q_svd_mlp(spark, d, dims: int = 256):
+    """FEA-9 + MOD-9: uncentred truncated SVD of the TF-IDF vectors (``dims``
+    dimensions, or the rank), then a network with hidden layers of 256 and 128
+    and a balanced LR on the projection; MET-1 rows on val and test."""
     from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.feature import PCA
-    v = vectors(spark, d, 1 << 10)
+    from ..operators import lowrank
+    v, width = tfidf_vectors(spark, d)
     train = v.where(F.col("split") == "train")
-    pca = PCA(k=dims, inputCol="features", outputCol="z").fit(train)
-    z = pca.transform(v).select("split", "label", F.col("z").alias("features"))
+    svd = lowrank.truncated_svd(train, width, dims)
+    z = lowrank.project(v, svd).select("split", "label", F.col("z").alias("features")).checkpoint()
     ztrain = z.where(F.col("split") == "train")
-    mlp = MultilayerPerceptronClassifier(layers=[dims, 32, 16, 2], maxIter=50, seed=42).fit(ztrain)
-    lr = LogisticRegression(maxIter=50, regParam=1e-3).fit(ztrain)
-    test = z.where(F.col("split") == "test")
-    out = [m.transform(test).select(F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"),
+    counts = {r["label"]: r["count"] for r in ztrain.groupBy("label").count().collect()}  # two scalars
+    n = sum(counts.values())
+    balanced = F.when(F.col("label") == 0.0, n / (2.0 * counts[0.0])).otherwise(n / (2.0 * counts[1.0]))
+    mlp = MultilayerPerceptronClassifier(layers=[len(svd.values), 256, 128, 2], maxIter=30, seed=42).fit(ztrain)
+    lr = LogisticRegression(weightCol="w", maxIter=100, regParam=1.0 / n, standardization=False).fit(ztrain.withColumn("w", balanced))
+    held = z.where(F.col("split") != "train")
+    out = [m.transform(held).select(F.lit(name).alias("model"), "split", F.col("label").cast("int").alias("y"),
                                     F.col("prediction").alias("prob"))
-           for name, m in (("svd_mlp", mlp), ("svd_lr", lr))]
+           for name, m in (("ffnn_mlp_svd", mlp), ("svd_semantic_logreg", lr))]
     return M.binary_metrics(out[0].unionByName(out[1]))
 
 
+@register("svd_values")
+def q_svd_values(spark, d, dims: int = 256):
+    """FEA-9: the singular values of the train TF-IDF matrix, largest first,
+    and the share of its squared norm that they hold together."""
+    from ..operators import lowrank
+    v, width = tfidf_vectors(spark, d)
+    train = v.where(F.col("split") == "train")
+    svd = lowrank.truncated_svd(train, width, dims)
+    rows = [(i + 1, float(x)) for i, x in enumerate(svd.values)]  # at most ``dims`` scalars
+    norm = train.agg(F.sum(F.size(F.filter(F.unwrap_udt("features")["values"], lambda x: x != 0)).cast("boolean").cast("long"))
+                     .alias("n"))  # L2-normal rows: the squared norm is the count of non-empty ones
+    total = F.sum(F.pow("value", 2)).over(Window.orderBy("dim"))  # at most ``dims`` rows
+    return (spark.createDataFrame(rows, "dim int, value double").crossJoin(norm)
+            .select("dim", F.round("value", 6).alias("value"), F.round(total / F.col("n"), 6).alias("energy")))
+
+
+@register("online_models")
+def q_online_models(spark, d):
+    """MOD-8: averaged perceptron and SGD with log loss (25 and 35 passes at
+    most, balanced classes), and MOD-7's complement naive Bayes, on the TF-IDF
+    vectors; MET-1 rows on val and test."""
+    from ..operators import online
+    v, width = tfidf_vectors(spark, d)
+    train, held = v.where(F.col("split") == "train"), v.where(F.col("split") != "train")
+    y = F.col("label").cast("int").alias("y")
+    out = [held.select(F.lit(name).alias("model"), "split", y, (fit(train, width).score(held) > 0).cast("double").alias("prob"))
+           for name, fit in (("perceptron", online.averaged_perceptron), ("sgd_log_loss", online.sgd_log_loss))]
+    nb = NaiveBayes(smoothing=0.3, modelType="complement").fit(train)
+    out.append(nb.transform(held).select(F.lit("complement_nb").alias("model"), "split", y, F.col("prediction").alias("prob")))
+    return M.binary_metrics(out[0].unionByName(out[1]).unionByName(out[2]))
+
+
 @register("chi2_weight_grid")
 def q_chi2_weight_grid(spark, d, ks=(25, 50, 100), weights=("none", "balanced", "w5")):
     """MOD-3/MOD-5: rank review terms once by chi-square against the

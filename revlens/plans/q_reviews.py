@@ -10,7 +10,7 @@ from ..functions import lexicon as L
 from ..functions import rules as R
 from ..functions import text as T
 from ..operators import triage as TR
-from ..sources.fixtures import reviews
+from ..sources.fixtures import reviews, with_issue_truth
 from ..sources.tables import fence, table
 from . import duck as D
 from .registry import register
@@ -404,21 +404,29 @@ def q_mismatch_by_segment(spark, d):
                  F.sum(F.col("total") - F.col("risk")).alias("clean")))
 
 
-@register("fallback_predictions", lambda: _w(RV) + f""",
-b AS (SELECT review_id, rating AS stars FROM reviews)
+@register("fallback_predictions", lambda: _w(RV, D.issue_scores_cte) + f""",
+b AS (SELECT r.review_id, r.rating AS stars, {' + '.join(f"t._truth_{lb}::INT" for lb in K.ISSUE_LABELS)} AS issues,
+             concat_ws(', ', {', '.join(f"CASE WHEN t._truth_{lb} THEN {D.q(lb)} END" for lb in K.ISSUE_LABELS)}) AS names
+      FROM reviews r JOIN is_t t ON r.review_id = t.review_id)
 SELECT review_id,
        CASE WHEN stars >= 4 THEN 'POSITIVE' WHEN stars = 3 THEN 'UNCERTAIN' WHEN stars = 2 THEN 'NEEDS_ATTENTION' ELSE 'NEGATIVE' END AS label,
-       round(stars::DOUBLE / 5.0::DOUBLE, 6) AS probability,
-       greatest(0, (6 - stars) * 70)::INT AS risk_score
+       round(stars::DOUBLE / 5.0::DOUBLE, 6) AS probability, issues::INT AS issue_count,
+       CASE WHEN issues = 0 THEN '-' ELSE names END AS issue_summary,
+       greatest(0, (6 - stars) * 70 + 18 * issues)::INT AS risk_score
 FROM b""")
 def q_fallback_predictions(spark, d):
-    """RUL-12/20: rating-seeded predictions (p = stars/5, risk from stars
-    and issue flags; the review view carries no flags, so 0 issues)."""
-    rv = reviews(spark, d)
+    """RUL-12/20/21: predictions from the dataset alone (p = stars/5; issue
+    count and summary from the review's issue flags; risk from stars and
+    count)."""
+    rated = with_issue_truth(reviews(spark, d).select("review_id", "rating", "text"))
+    flags = fence(rated.select("review_id", "rating", F.array(*[F.col(f"_truth_{lb}").cast("int") for lb in K.ISSUE_LABELS]).alias("flags")),
+                  "flags")
     stars = R.normalized_rating(F.col("rating"))
-    return rv.select("review_id", R.sentiment_from_rating(F.col("rating")).alias("label"),
-                     F.round(stars / 5.0, 6).alias("probability"),
-                     F.greatest(F.lit(0), (F.lit(6) - stars) * 70).cast("int").alias("risk_score"))
+    issues = F.aggregate("flags", F.lit(0), lambda total, f: total + f)
+    return flags.select("review_id", R.sentiment_from_rating(F.col("rating")).alias("label"),
+                        F.round(stars / 5.0, 6).alias("probability"), issues.alias("issue_count"),
+                        R.summary_from_flags([F.col("flags")[i] for i in range(len(K.ISSUE_LABELS))]).alias("issue_summary"),
+                        F.greatest(F.lit(0), (F.lit(6) - stars) * 70 + 18 * issues).cast("int").alias("risk_score"))
 
 
 @register("queue_priority", lambda: _w(RV, D.stage1_cte) + f""",

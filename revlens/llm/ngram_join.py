@@ -23,8 +23,11 @@ reaches 0.8; a component is what links reach.
    minima of the boxes' upper corners, and what survives is bounded pair
    by pair, large sets with finer groups as well.  Long lists are dealt
    into pairs of blocks first; lists of the same nodes are joined once.
-5. Surviving pairs are verified on the whole sets; components follow by
-   label propagation with pointer jumping.
+   Nodes with such a partner go on, never the pairs: a task gets the whole
+   sets of its nodes and verifies pairs where it finds them, as long as
+   the two are in different components, so links stay fewer than nodes.
+5. Links are verified on the whole sets; components follow by label
+   propagation with pointer jumping.
 
 No link between different texts is lost: a pair of nodes left unverified
 either shares no list, or fails a bound, or is in one component already.
@@ -53,8 +56,11 @@ GROUPS = 64
 FINE = 1024             # sets from this size on also have finer groups, one for eight shingles
 HOT_SHARE, HOT_LEAST = 8000, 32
 COUNT_FLUSH = 1 << 22  # shingles counted at once in a task
-SLOTS = 1 << 20        # bits of the filter for nodes whose sets are wanted
+SLOTS = 1 << 23        # bits of the filter for nodes whose sets are wanted: 1 MB, of any number of nodes
 BLOCK, LEAF = 2048, 32
+TASK_ROWS, TASK_BYTES = 20_000, 1 << 24  # of lists that are joined, and of lists with sets that are verified, in one task
+REMEMBER = 1 << 19     # pairs a task remembers as not linked
+OPEN = ["key", "i", "j", "own", "node", "n", "vec", "fine", "comp", "near"]
 STRETCH = 1 << 20      # bytes hashed in one go
 TOGETHER = 1 << 21     # characters whose sets are made in one go
 
@@ -281,15 +287,18 @@ def listed(keys: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, set) of the wanted nodes and of a few more: the filter that
     goes to the tasks has a fixed size, whoever joins by node is exact."""
-    slots = wanted.select(F.pmod("node", F.lit(SLOTS)).alias("s")).distinct().toPandas()["s"].to_numpy()
-    bits = np.zeros(SLOTS, bool)
-    bits[slots.astype(np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    slot = F.pmod("node", F.lit(SLOTS))
+    filled = (wanted.groupBy(F.floor(slot / 64).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {SLOTS}) % 64 AS int))")).alias("bits"))
+              .toPandas())
+    words = np.zeros(SLOTS // 64, np.int64)
+    words[filled["word"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(words.view(np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        may, seen = np.unpackbits(shared.value).astype(bool), set()
+        may, seen = shared.value, set()
         for _, sets in in_chunks(batches):
-            wanted_here = np.flatnonzero(may[sets.node % SLOTS] & (sets.n > 0))
+            at = sets.node % SLOTS
+            wanted_here = np.flatnonzero((may[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool) & (sets.n > 0))
             out = []
             for i in wanted_here.tolist():
                 node = int(sets.node[i])
@@ -313,6 +322,11 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .where(low >= need).select("a", "b"))
 
 
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= 80 * (len(x) + len(y) - both)
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs of nodes whose whole sets link."""
     sets = sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
@@ -321,9 +335,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch["s_a"], batch["s_b"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= 80 * (len(x) + len(y) - both))
+                keep.append(linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
             yield batch.loc[keep, ["a", "b"]]
 
     a = sets.select(F.col("node").alias("a"), F.col("set").alias("s_a"))
@@ -374,38 +386,95 @@ def tree_pairs(n: np.ndarray, vec: np.ndarray, comp: np.ndarray, side: np.ndarra
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def open_pairs(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs still to verify: of lists that span several components, by R-tree."""
-    rows = lists.where("members > 2").select("key", "node", "members").join(comps, "node")
+def open_rows(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of lists that span several components, as far as an R-tree finds them a partner.
+
+    One row a list, block pair and node, so never more than the lists hold;
+    the pairs themselves stay in the task.  ``near`` is the smallest
+    component of the list.  The leader's pairs have all been tried."""
+    rows = (lists.where("members > 2 AND node <> leader").select("key", "node", (F.col("members") - 1).alias("members"))
+            .join(comps, "node"))
     # Lists of the same nodes (a passage shared whole) are one list: the one with the smallest key.
     same = [F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")]
-    several = (rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m"), *same)
-               .where("x <> y").groupBy("s", "t", "m").agg(F.min("key").alias("key")).select("key"))
-    rows = rows.join(several, "key", "left_semi")
-    points = nodes.select("node", "n", "vec", "fine")
+    several = (rows.groupBy("key").agg(F.min("comp").alias("near"), F.max("comp").alias("far"), F.count("*").alias("m"), *same)
+               .where("near <> far").groupBy("s", "t", "m").agg(F.min(F.struct("key", "near")).alias("one")).select("one.*"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = (rows.withColumns({"blocks": blocks, "own": own})
+    rows = (rows.join(several, "key").withColumns({"blocks": blocks, "own": own})
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
-    rows = cut(rows.join(points, "node").select("key", "i", "j", "own", "node", "n", "vec", "fine", "comp"))
-    tasks = max(1, -(-rows.count() // 50_000))
+    rows = cut(rows.join(nodes.select("node", "n", "vec", "fine"), "node").select(*OPEN))
+    tasks = max(1, -(-rows.count() // TASK_ROWS))
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        out = [group.iloc[:0]]
+        for part, x, y in listed_pairs(group):
+            out.append(part.iloc[np.union1d(x, y)])
+        return pd.concat(out)[OPEN]
+
+    return rows.groupBy("task").applyInPandas(run, rows.select(*OPEN).schema)
+
+
+def listed_pairs(group: pd.DataFrame, root=lambda comp: comp) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Every list (or block pair of one) with the index pairs that the bounds allow a link."""
+    for (_, i, j), part in group.groupby(["key", "i", "j"], sort=False):
+        comp = np.array([root(c) for c in part["comp"].tolist()])
+        if (comp == comp[0]).all():
+            continue
+        side = (part["own"].to_numpy() == i).astype(np.int8) if i != j else None
+        n = part["n"].to_numpy()
+        x, y = tree_pairs(n, np.stack(part["vec"].to_numpy()), comp, side)
+        ok = fine_bound(x, y, n, part["fine"].tolist())
+        yield part, x[ok], y[ok]
+
+
+def open_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a, b) among ``rows`` that join different components.
+
+    A task gets its lists and, once each, the sets of their nodes.  It
+    verifies a pair only while both ends are in different components, as
+    far as it has seen, so it gives fewer links than it has nodes.  Lists
+    with the same ``near`` come together in parts of about ``TASK_BYTES``."""
+    weight = F.sum(8 * F.col("n") + 400)
+    total = rows.agg(weight.alias("w")).first()["w"]
+    tasks = max(1, -(-total // TASK_BYTES))
+    large = cut(rows.groupBy("near").agg(F.ceil(weight / TASK_BYTES).alias("parts")).where("parts > 1"))  # at most ``tasks`` rows
+    part = F.pmod(F.xxhash64("key", "i", "j"), F.coalesce("parts", F.lit(1).cast("long")))
+    rows = (rows.join(large, "near", "left").withColumn("task", F.pmod(F.xxhash64("near", part), F.lit(tasks)))
+            .select(*OPEN, "task"))
+    sets = sets_of(docs, rows.select("node").distinct())
+    dealt = (rows.select(F.col("task").alias("to"), F.col("node").alias("nd")).distinct()
+             .join(sets, F.col("nd") == sets["node"]).select("to", "nd", "set"))
+
+    def run(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        held = {k: np.frombuffer(v, np.uint64) for k, v in zip(own["nd"].tolist(), own["set"], strict=True)}
+        parent: dict[int, int] = {}
+        failed: set[tuple[int, int]] = set()
         out = []
-        for (_, i, j), part in group.groupby(["key", "i", "j"], sort=False):
-            if part["comp"].nunique() < 2:
-                continue
-            side = (part["own"].to_numpy() == i).astype(np.int8) if i != j else None
-            x, y = tree_pairs(part["n"].to_numpy(), np.stack(part["vec"].to_numpy()), part["comp"].to_numpy(), side)
-            ok = fine_bound(x, y, part["n"].to_numpy(), part["fine"].tolist())
-            x, y, ids = x[ok], y[ok], part["node"].to_numpy()
-            out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])], 1))
-        found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
-        return pd.DataFrame(found, columns=["a", "b"])
 
-    return rows.groupBy("task").applyInPandas(run, "a long, b long").distinct()
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(up, up)
+            return c
+
+        for part, x, y in listed_pairs(group, root):
+            ids, comp = part["node"].tolist(), part["comp"].tolist()
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                a, b = min(ids[i], ids[j]), max(ids[i], ids[j])
+                ra, rb = root(comp[i]), root(comp[j])
+                if ra == rb or (a, b) in failed:
+                    continue
+                if linked(held[a], held[b]):
+                    parent[ra] = rb
+                    out.append((a, b))
+                else:
+                    if len(failed) >= REMEMBER:  # only spares a second look
+                        failed.clear()
+                    failed.add((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return rows.groupBy("task").cogroup(dealt.groupBy("to")).applyInPandas(run, "a long, b long")
 
 
 def _joined(docs: DataFrame) -> DataFrame:
@@ -425,9 +494,9 @@ def _joined(docs: DataFrame) -> DataFrame:
     tried = cut(bounded(star, nodes))
     links = cut(verified(docs, tried))
     comps = cut(components(nodes.select("node"), links))
-    left = cut(open_pairs(lists, comps, nodes).join(tried, ["a", "b"], "left_anti"))
+    left = cut(open_rows(lists, comps, nodes))
     if not left.isEmpty():
-        more = cut(verified(docs, left))
+        more = cut(open_links(docs, left))
         comps = cut(components(nodes.select("node"), links.unionByName(more)))
 
     smallest = comps.join(nodes, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))

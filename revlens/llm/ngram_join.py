@@ -60,7 +60,7 @@ SLOTS = 1 << 23        # bits of the filter for nodes whose sets are wanted: 1 M
 BLOCK, LEAF = 2048, 32
 TASK_ROWS, TASK_BYTES = 20_000, 1 << 24  # of lists that are joined, and of lists with sets that are verified, in one task
 REMEMBER = 1 << 19     # pairs a task remembers as not linked
-OPEN = ["key", "i", "j", "own", "node", "n", "vec", "fine", "comp", "near"]
+OPEN = ["key", "i", "j", "own", "node", "comp", "near"]
 STRETCH = 1 << 20      # bytes hashed in one go
 TOGETHER = 1 << 21     # characters whose sets are made in one go
 
@@ -403,29 +403,49 @@ def open_rows(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame
     rows = (rows.join(several, "key").withColumns({"blocks": blocks, "own": own})
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
-    rows = cut(rows.join(nodes.select("node", "n", "vec", "fine"), "node").select(*OPEN))
-    tasks = max(1, -(-rows.count() // TASK_ROWS))
-    rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    rows = dealt(cut(rows.select(*OPEN)), F.lit(1), TASK_ROWS)
+    points = of_tasks(rows, nodes.select("node", "n", "vec", "fine"))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        out = [group.iloc[:0]]
-        for part, x, y in listed_pairs(group):
-            out.append(part.iloc[np.union1d(x, y)])
-        return pd.concat(out)[OPEN]
+    def run(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        out = [group.iloc[:0].assign(n=0)]
+        n, vec = own["n"].to_numpy(), np.stack(own["vec"].to_numpy())
+        at = pd.Index(own["nd"]).get_indexer(group["node"])
+        for part, x, y in listed_pairs(group.assign(at=at), n, vec, own["fine"].tolist()):
+            kept = part.iloc[np.union1d(x, y)]
+            out.append(kept.assign(n=n[kept["at"].to_numpy()]))
+        return pd.concat(out)[[*OPEN, "n"]]
+
+    return (rows.groupBy("task").cogroup(points.groupBy("to"))
+            .applyInPandas(run, rows.select(*OPEN, F.lit(0).cast("long").alias("n")).schema))
+
+
+def dealt(rows: DataFrame, weight: Column, room: int) -> DataFrame:
+    """``rows`` with a task: lists with the same ``near`` come together, in parts of about ``room``."""
+    total = F.sum(weight)
+    tasks = max(1, -(-(rows.agg(total.alias("w")).first()["w"] or 0) // room))
+    large = cut(rows.groupBy("near").agg(F.ceil(total / room).alias("parts")).where("parts > 1"))  # at most ``tasks`` rows
+    part = F.pmod(F.xxhash64("key", "i", "j"), F.coalesce("parts", F.lit(1).cast("long")))
+    return (rows.join(large, "near", "left").withColumn("task", F.pmod(F.xxhash64("near", part), F.lit(tasks)))
+            .select(*rows.columns, "task"))
 
-    return rows.groupBy("task").applyInPandas(run, rows.select(*OPEN).schema)
 
+def of_tasks(rows: DataFrame, load: DataFrame) -> DataFrame:
+    """``load`` by node, once for every task (``to``) whose rows name the node (``nd``)."""
+    wanted = rows.select(F.col("task").alias("to"), F.col("node").alias("nd")).distinct()
+    return wanted.join(load, F.col("nd") == load["node"]).drop("node")
 
-def listed_pairs(group: pd.DataFrame, root=lambda comp: comp) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
-    """Every list (or block pair of one) with the index pairs that the bounds allow a link."""
+
+def listed_pairs(group: pd.DataFrame, n: np.ndarray, vec: np.ndarray, fine: list[bytes | None],
+                 root=lambda comp: comp) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Every list (or block pair of one) with the index pairs that the bounds allow a link; ``at`` is a row's place in the points."""
     for (_, i, j), part in group.groupby(["key", "i", "j"], sort=False):
         comp = np.array([root(c) for c in part["comp"].tolist()])
         if (comp == comp[0]).all():
             continue
         side = (part["own"].to_numpy() == i).astype(np.int8) if i != j else None
-        n = part["n"].to_numpy()
-        x, y = tree_pairs(n, np.stack(part["vec"].to_numpy()), comp, side)
-        ok = fine_bound(x, y, n, part["fine"].tolist())
+        at = part["at"].to_numpy()
+        x, y = tree_pairs(n[at], vec[at], comp, side)
+        ok = fine_bound(x, y, n[at], [fine[k] for k in at.tolist()])
         yield part, x[ok], y[ok]
 
 
@@ -434,21 +454,15 @@ def open_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     A task gets its lists and, once each, the sets of their nodes.  It
     verifies a pair only while both ends are in different components, as
-    far as it has seen, so it gives fewer links than it has nodes.  Lists
-    with the same ``near`` come together in parts of about ``TASK_BYTES``."""
-    weight = F.sum(8 * F.col("n") + 400)
-    total = rows.agg(weight.alias("w")).first()["w"]
-    tasks = max(1, -(-total // TASK_BYTES))
-    large = cut(rows.groupBy("near").agg(F.ceil(weight / TASK_BYTES).alias("parts")).where("parts > 1"))  # at most ``tasks`` rows
-    part = F.pmod(F.xxhash64("key", "i", "j"), F.coalesce("parts", F.lit(1).cast("long")))
-    rows = (rows.join(large, "near", "left").withColumn("task", F.pmod(F.xxhash64("near", part), F.lit(tasks)))
-            .select(*OPEN, "task"))
-    sets = sets_of(docs, rows.select("node").distinct())
-    dealt = (rows.select(F.col("task").alias("to"), F.col("node").alias("nd")).distinct()
-             .join(sets, F.col("nd") == sets["node"]).select("to", "nd", "set"))
+    far as it has seen, so it gives fewer links than it has nodes."""
+    rows = dealt(rows, 8 * F.col("n") + 400, TASK_BYTES)
+    sets = of_tasks(rows, sets_of(docs, rows.select("node").distinct()))
 
     def run(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        held = {k: np.frombuffer(v, np.uint64) for k, v in zip(own["nd"].tolist(), own["set"], strict=True)}
+        held = [np.frombuffer(v, np.uint64) for v in own["set"]]
+        vec = np.stack([np.bincount((v >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS) for v in held])
+        n, fine = np.array([len(v) for v in held]), [fine_groups(v) if len(v) >= FINE else None for v in held]
+        at = pd.Index(own["nd"]).get_indexer(group["node"])
         parent: dict[int, int] = {}
         failed: set[tuple[int, int]] = set()
         out = []
@@ -458,14 +472,14 @@ def open_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
                 parent[c] = c = parent.get(up, up)
             return c
 
-        for part, x, y in listed_pairs(group, root):
-            ids, comp = part["node"].tolist(), part["comp"].tolist()
+        for part, x, y in listed_pairs(group.assign(at=at), n, vec, fine, root):
+            ids, comp, place = part["node"].tolist(), part["comp"].tolist(), part["at"].tolist()
             for i, j in zip(x.tolist(), y.tolist(), strict=True):
                 a, b = min(ids[i], ids[j]), max(ids[i], ids[j])
                 ra, rb = root(comp[i]), root(comp[j])
                 if ra == rb or (a, b) in failed:
                     continue
-                if linked(held[a], held[b]):
+                if linked(held[place[i]], held[place[j]]):
                     parent[ra] = rb
                     out.append((a, b))
                 else:
@@ -474,7 +488,7 @@ def open_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
                     failed.add((a, b))
         return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    return rows.groupBy("task").cogroup(dealt.groupBy("to")).applyInPandas(run, "a long, b long")
+    return rows.groupBy("task").cogroup(sets.groupBy("to")).applyInPandas(run, "a long, b long")
 
 
 def _joined(docs: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ from .common import cut, ship
 
 WORDS = 5
 GROUPS = 64
-FINE = 1024             # sets from this size on also have finer groups, one for eight shingles
+FINE = 512              # sets from this size on also have finer groups, one for four shingles
 HOT_SHARE, HOT_LEAST = 8000, 32
 COUNT_FLUSH = 1 << 22  # shingles counted at once in a task
 SLOTS = 1 << 23        # bits of the filter for nodes whose sets are wanted: 1 MB, of any number of nodes
@@ -181,8 +181,8 @@ def row_key(docs: DataFrame) -> Column:
 
 
 def fine_groups(s: np.ndarray) -> bytes:
-    """Counts of a large set in nested groups: a power of two of them, an eighth of its size or more."""
-    groups = 1 << (len(s) // 8 - 1).bit_length()
+    """Counts of a large set in nested groups: a power of two of them, a quarter of its size or more."""
+    groups = 1 << (len(s) // 4 - 1).bit_length()
     return np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype("<u4").tobytes()
 
 
@@ -208,6 +208,15 @@ def fine_bound(x: np.ndarray, y: np.ndarray, n: np.ndarray, fine: list[bytes | N
     return keep
 
 
+def fits(n_a: int, n_b: int, f_a: bytes | None, f_b: bytes | None) -> bool:
+    """Whether the finer groups of both, if there are any, still allow a link."""
+    if f_a is None or f_b is None:
+        return True
+    g = min(len(f_a), len(f_b)) // 4
+    x, y = (np.frombuffer(f, "<u4").reshape(-1, g).sum(0, dtype=np.int64) for f in (f_a, f_b))
+    return bool(np.minimum(x, y).sum() >= _required(n_a, n_b))
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """Node, set size and group counts of every document; and counts of
     shingles that a task saw in several nodes (rows with ``shingle``)."""
@@ -318,8 +327,17 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("vec").alias("v_b"))
     low = F.aggregate(F.zip_with("v_a", "v_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     need = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / 9)
-    return (pairs.join(a, "a").join(b, "b").where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
-            .where(low >= need).select("a", "b"))
+    near = cut(pairs.join(a, "a").join(b, "b").where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
+               .where(low >= need).select("a", "b", "n_a", "n_b"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = [fits(*r) for r in zip(batch["n_a"], batch["n_b"], batch["f_a"], batch["f_b"], strict=True)]
+            yield batch.loc[keep, ["a", "b"]]
+
+    large = nodes.where(F.col("fine").isNotNull())
+    a, b = (large.select(F.col("node").alias(x), F.col("fine").alias(f"f_{x}")) for x in "ab")
+    return near.join(a, "a", "left").join(b, "b", "left").mapInPandas(run, "a long, b long")
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:

@@ -323,7 +323,7 @@ FROM m LEFT JOIN pb ON pb.primary_issue = m.primary_issue"""
 @register("playbook_route", _playbook_sql)
 def q_playbook_route(spark, d):
     """RUL-18/21: primary issue from the summary string → owner, outcome
-    (broadcast join to the fixed 7-row routing table), SLA by risk."""
+    (the fixed 7-row routing table), SLA by risk."""
     p = predictions(spark, d).select("review_id", "risk_score", "issue_summary")
     keys = R.parse_issue_keys(F.col("issue_summary"))
     primary = F.coalesce(F.try_element_at(keys, F.lit(1)), F.lit("other"))

@@ -27,7 +27,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     (RUL-21), risk (RUL-16).  One projection chain, no shuffle."""
     sr = scored_reviews(spark, sf_dir)
     t = R.strip_ws(F.col("text"))
-    base = sr.where(t != "").withColumn("text", t)
+    base = fence(sr.withColumn("text", t), "text").where(F.col("text") != "")
     casc = R.with_triage_cascade(base)
     rows = R.resolve_issue_labels(F.array().cast(EMPTY_ROWS), F.col("c.issue_tags"))
     staged = casc.select("*", rows.alias("issue_rows"))
@@ -46,4 +46,4 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Consumers filter on the cascade outputs (label, issue rows); the
     # fence keeps those filters from re-running the cascade.
-    return fence(out, "review_id")
+    return fence(out, *out.columns)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions import constants as K
 from ..functions.text import normalize_id
@@ -26,7 +27,7 @@ def coerce_label(c: Column) -> Column:
 def with_coerced_labels(df: DataFrame, labels=K.ISSUE_LABELS) -> DataFrame:
     """Adds ``_v_<label>`` (double or NULL) and ``labels_complete``."""
     # Fenced: filters and sums read every value several times and must not parse it again.
-    out = fence(df.select("*", *[coerce_label(F.col(lb)).alias(f"_v_{lb}") for lb in labels]))
+    out = fence(df.select("*", *[coerce_label(F.col(lb)).alias(f"_v_{lb}") for lb in labels]), *[f"_v_{lb}" for lb in labels])
     ok = F.lit(True)
     for lb in labels:
         ok = ok & F.coalesce(F.col(f"_v_{lb}").isin(0.0, 1.0), F.lit(False))
@@ -41,7 +42,7 @@ def filtered_batches(df: DataFrame, include_pending: bool = False, keep_incomple
                      labels=K.ISSUE_LABELS) -> DataFrame:
     """LBL-2 filters: id normalized and non-blank, finished statuses,
     complete 0/1 labels; label columns become ints."""
-    d = df.withColumn("id", normalize_id(F.col("id"))).where(F.col("id") != "")
+    d = fence(df.withColumn("id", normalize_id(F.col("id"))), "id").where(F.col("id") != "")
     if not include_pending:
         d = d.where(status_norm(F.col("annotation_status")).isin(*K.DONE_STATUSES))
     d = with_coerced_labels(d, labels)
@@ -62,13 +63,16 @@ def dedup_newest(df: DataFrame, key: str = "id", order: Sequence[str] = ("source
 
 def conflicts(df: DataFrame, key: str = "id", labels=K.ISSUE_LABELS) -> DataFrame:
     """WIN-2: rows of ids whose label vectors differ (NULL counts as a
-    value), found by per-label distinct counts then a semi join."""
-    aggs = [F.count_distinct(F.coalesce(F.col(lb).cast("string"), F.lit("<null>"))).alias(f"_d_{lb}") for lb in labels]
-    per_id = df.groupBy(key).agg(*aggs)
-    bad = F.lit(False)
+    value), found by the smallest and largest value of every label then a
+    semi join: one aggregate, no row for each label (distinct counts of
+    several columns multiply the rows)."""
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)}
+    aggs, bad = [], F.lit(False)
     for lb in labels:
-        bad = bad | (F.col(f"_d_{lb}") > 1)
-    ids = per_id.where(bad).select(key)
+        v = F.col(lb) if lb in whole else F.coalesce(F.col(lb).cast("string"), F.lit("<null>"))
+        aggs += [F.min(v).alias(f"_a_{lb}"), F.max(v).alias(f"_z_{lb}"), F.count(v).alias(f"_n_{lb}")]
+        bad = bad | F.coalesce(F.col(f"_a_{lb}") != F.col(f"_z_{lb}"), F.lit(False)) | F.col(f"_n_{lb}").between(1, F.col("_rows") - 1)
+    ids = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *aggs).where(bad).select(key)
     return df.join(ids, key, "left_semi")
 
 
@@ -110,35 +114,35 @@ REQUIRED = ("id", "rating", "text")
 
 def validation_rules(df: DataFrame, strict_other: bool = False, fail_on_conflicts: bool = False,
                      labels=K.ISSUE_LABELS) -> DataFrame:
-    """LBL-3: (rule, severity, n_bad, passed) in one pass plus one id aggregate.
+    """LBL-3: (rule, severity, n_bad, passed) in one pass: rows are counted by
+    (id, label vector), which gives the row rules and the id rules alike.
 
     Missing ids, non-binary cells and rows without a label are fatal; a
     contradiction with ``other`` and conflicting duplicates are fatal on
     request only."""
-    d = with_coerced_labels(df.withColumn("id", normalize_id(F.col("id"))), labels)
+    d = with_coerced_labels(fence(df.withColumn("id", normalize_id(F.col("id"))), "id"), labels)
     nonbin = F.lit(False)
     for lb in labels:
         nonbin = nonbin | ~F.coalesce(F.col(f"_v_{lb}").isin(0.0, 1.0), F.lit(False))
     bins = [F.when(F.col(f"_v_{lb}") == 1.0, 1).otherwise(0) for lb in labels]
     card = sum(bins[1:], bins[0])
     other = F.when(F.col("_v_other") == 1.0, 1).otherwise(0)
-    row_aggs = d.agg(F.count_if(F.col("id") == "").alias("missing_id"), F.count_if(nonbin).alias("non_binary"),
-                     F.count_if(card == 0).alias("zero_label"),
-                     F.count_if((other == 1) & (card > 1)).alias("other_with_label"))
-    ids = d.where(F.col("id") != "")
     vec = F.concat_ws(",", *[F.coalesce(F.col(f"_v_{lb}").cast("string"), F.lit("nan")) for lb in labels])
-    per_id = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(vec).alias("k"))
-    id_aggs = per_id.agg(F.count_if(F.col("n") > 1).alias("duplicate_ids"),
-                         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"),
-                         F.count_if(F.col("k") > 1).alias("conflicting_ids"))
+    marks = d.select("id", vec.alias("vec"), nonbin.alias("non_binary"), (card == 0).alias("zero_label"),
+                     ((other == 1) & (card > 1)).alias("other_with_label"))
+    row_rules = ["non_binary", "zero_label", "other_with_label"]
+    per_vec = fence(marks, *marks.columns).groupBy("id", "vec").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in row_rules])
+    per_id = per_vec.groupBy("id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), *[F.sum(c).alias(c) for c in row_rules])
+    named, several = F.col("id") != "", F.col("n") > 1
+    one = per_id.agg(F.sum(F.when(F.col("id") == "", F.col("n"))).alias("missing_id"), *[F.sum(c).alias(c) for c in row_rules],
+                     F.count_if(named & several).alias("duplicate_ids"), F.sum(F.when(named & several, F.col("n"))).alias("duplicate_rows"),
+                     F.count_if(named & (F.col("k") > 1)).alias("conflicting_ids"))
     rules = [("missing_id", "fatal"), ("non_binary", "fatal"), ("zero_label", "fatal"),
-             ("other_with_label", "fatal" if strict_other else "warn")]
-    r1 = row_aggs.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"),
-                                                     F.col(n).alias("n_bad")) for n, s in rules])))
-    rules2 = [("duplicate_ids", "warn"), ("duplicate_rows", "warn"), ("conflicting_ids", "fatal" if fail_on_conflicts else "warn")]
-    r2 = id_aggs.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"),
-                                                    F.col(n).cast("bigint").alias("n_bad")) for n, s in rules2])))
-    return r1.unionByName(r2).withColumn("passed", F.col("n_bad") == 0)
+             ("other_with_label", "fatal" if strict_other else "warn"), ("duplicate_ids", "warn"), ("duplicate_rows", "warn"),
+             ("conflicting_ids", "fatal" if fail_on_conflicts else "warn")]
+    out = one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"),
+                                                 F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n_bad")) for n, s in rules])))
+    return out.withColumn("passed", F.col("n_bad") == 0)
 
 
 def validate(df: DataFrame, strict_other: bool = False, fail_on_conflicts: bool = False,

@@ -1,23 +1,26 @@
 """Resampling and significance (STA-1..3), plus similarity scoring (MOD-15,
 HIT-1) on embedding arrays.
 
-Bootstrap: a metric reads rows only through how many there are of each
-(truth, decision a, decision b), so rows are counted once into at most eight
-cells and a replicate draws each cell's Poisson(n) instead of n rows' weights.
-Time after that one aggregate does not depend on the rows; the quantiles are
-exact over B values a metric.
+Bootstrap: every row gets a Poisson(1) weight per replicate from md5 of
+(replicate, row id) by inverse CDF.  ``explode(sequence(1, B))`` is map-side
+and is followed immediately by a partial aggregation keyed by replicate, so
+only B x (a few counts) cross the shuffle; the quantiles are exact over B
+values a metric.  Both bootstraps draw the same weights, so one stored table
+of replicate counts (``replicate_counts``) serves them in a report.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-
+from ..session import stored
 from ..sources.fixtures import u
+from ..sources.tables import fence
 
 # Poisson(1) cumulative probabilities P(K <= k), k = 0..11.
 POISSON1_CDF = [math.exp(-1.0) * sum(1.0 / math.factorial(j) for j in range(k + 1)) for k in range(12)]
@@ -31,6 +34,15 @@ def poisson1(uv: Column) -> Column:
     return expr.otherwise(F.lit(len(POISSON1_CDF)))
 
 
+def poisson1_hex(digits: Column) -> Column:
+    """``poisson1`` of the uniform 0.d1..d8 in base 16: fixed-width lower-case digits order as their values do."""
+    expr = None
+    for k, c in enumerate(POISSON1_CDF):
+        below = digits < F.lit(f"{math.ceil(c * 4294967296.0):08x}")
+        expr = F.when(below, F.lit(k)) if expr is None else expr.when(below, F.lit(k))
+    return expr.otherwise(F.lit(len(POISSON1_CDF)))
+
+
 def _weighted_counts(y: Column, pred: Column, w: Column, suffix: str = "") -> list[Column]:
     return [F.sum(F.when((y == 0) & (pred == 0), w).otherwise(0)).alias("tp0" + suffix),
             F.sum(F.when((y == 1) & (pred == 0), w).otherwise(0)).alias("fp0" + suffix),
@@ -103,43 +115,50 @@ def poisson(n: Column, tag: Column, key: Column) -> Column:
     return F.when(n <= 0, F.lit(0).cast("bigint")).when(n <= SMALL_CELL, few).otherwise(many)
 
 
-def cells(df: DataFrame, y: str, pred_a: str, pred_b: str | None = None) -> DataFrame:
-    """Rows of each (y, a, b): at most eight."""
-    b = F.col(pred_b) if pred_b else F.lit(0)
-    return (df.groupBy(F.col(y).cast("int").alias("y"), F.col(pred_a).cast("int").alias("a"), b.cast("int").alias("b"))
-            .agg(F.count(F.lit(1)).alias("n")).where("y IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL"))
-
-
-def replicate_cells(counts: DataFrame, replicates: int) -> DataFrame:
-    """rep, y, a, b and w, the drawn count, of every replicate and cell."""
-    ex = counts.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    return ex.withColumn("w", poisson(F.col("n"), F.concat(F.lit("boot"), F.col("rep").cast("string")),
-                                      F.concat(*[F.col(c).cast("string") for c in ("y", "a", "b")])))
-
-
-def bootstrap_ci(df: DataFrame, y: str, pred: str, replicates: int = 1000, metrics=METRICS) -> DataFrame:
-    """STA-1: point estimate and 95 % percentile interval per metric."""
-    counts = cells(df, y, pred)
-    point = counts.agg(*_weighted_counts(F.col("y"), F.col("a"), F.col("n")))
-    reps = replicate_cells(counts, replicates).groupBy("rep").agg(*_weighted_counts(F.col("y"), F.col("a"), F.col("w")))
+def replicate_counts(df: DataFrame, y: str, pred_a: str, pred_b: str | None = None, replicates: int = 1000,
+                     id_col: str = "review_id") -> DataFrame:
+    """tp0, fp0 and fn0 of decision a (``_a``) and b (``_b``) by ``rep``: 0 holds the rows as they are, 1 to
+    ``replicates`` their drawn weights.  Without an id column rows are told apart by their place."""
+    key = F.col(id_col) if id_col in df.columns else F.monotonically_increasing_id()
+    b = F.col(pred_b) if pred_b else F.lit(None).cast("int")
+    rows = df.select(key.cast("string").alias("id"), F.col(y).cast("int").alias("y"), F.col(pred_a).cast("int").alias("a"),
+                     b.cast("int").alias("b"))
+    rows = fence(rows, *rows.columns).where("y IN (0, 1) AND (a IN (0, 1) OR b IN (0, 1))")  # other rows count nowhere
+    ex = rows.select("id", "y", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("rep"))
+    digits = F.substring(F.md5(F.concat_ws("|", F.concat(F.lit("boot"), F.col("rep").cast("string")), "id")), 1, 8)
+    ex = ex.select("rep", "y", "a", "b", digits.alias("d"))
+    ex = ex.select("rep", "y", "a", "b", F.when(F.col("rep") == 0, F.lit(1)).otherwise(poisson1_hex(F.col("d"))).alias("w"))
+    yy, w = F.col("y"), F.col("w")
+    return ex.groupBy("rep").agg(*_weighted_counts(yy, F.col("a"), w, "_a"), *_weighted_counts(yy, F.col("b"), w, "_b"))
+
+
+def _point(counts: DataFrame, values: Sequence[tuple[str, Column]], name: str) -> DataFrame:
+    """One row a metric of the rows as they are; without a row that counts, of zero counts."""
+    zero = counts.sparkSession.range(1).select(F.lit(0).alias("_rep"))
+    point = zero.join(counts, F.col("_rep") == F.col("rep"), "left").na.fill(0)
+    return point.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(v, 6).alias(name)) for m, v in values])))
+
+
+def bootstrap_ci(df: DataFrame, y: str, pred: str, replicates: int = 1000, metrics=METRICS, id_col: str = "review_id",
+                 counts: DataFrame | None = None) -> DataFrame:
+    """STA-1: point estimate and 95 % percentile interval per metric.  ``counts``: stored ``replicate_counts`` of ``df``."""
+    if counts is None:
+        counts = stored(replicate_counts(df, y, pred, replicates=replicates, id_col=id_col))  # a row a replicate
+    reps = counts.where("rep > 0").select(*[F.col(f"{c}_a").alias(c) for c in ("tp0", "fp0", "fn0")])
     vals = reps.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), metric_from_counts(
         m, F.col("tp0"), F.col("fp0"), F.col("fn0")).alias("v")) for m in metrics])))
     ci = vals.groupBy("metric").agg(F.round(F.percentile("v", 0.025), 6).alias("ci_low"),
                                     F.round(F.percentile("v", 0.975), 6).alias("ci_high"))
-    pts = point.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(metric_from_counts(
-        m, F.col("tp0"), F.col("fp0"), F.col("fn0")), 6).alias("point_estimate")) for m in metrics])))
+    pts = _point(counts, [(m, metric_from_counts(m, F.col("tp0_a"), F.col("fp0_a"), F.col("fn0_a"))) for m in metrics], "point_estimate")
     return pts.join(ci, "metric")
 
 
-def paired_bootstrap(df: DataFrame, y: str, pred_a: str, pred_b: str, replicates: int = 1000, metrics=METRICS) -> DataFrame:
-    """STA-2: CI of metric(a) − metric(b) with shared draws."""
-    counts, yy = cells(df, y, pred_a, pred_b), F.col("y")
-
-    def both(w):
-        return [*_weighted_counts(yy, F.col("a"), w, "_a"), *_weighted_counts(yy, F.col("b"), w, "_b")]
-
-    reps = replicate_cells(counts, replicates).groupBy("rep").agg(*both(F.col("w")))
-    point = counts.agg(*both(F.col("n")))
+def paired_bootstrap(df: DataFrame, y: str, pred_a: str, pred_b: str, replicates: int = 1000, metrics=METRICS,
+                     id_col: str = "review_id", counts: DataFrame | None = None) -> DataFrame:
+    """STA-2: CI of metric(a) − metric(b) with shared draws.  ``counts``: stored ``replicate_counts`` of ``df``."""
+    if counts is None:
+        counts = stored(replicate_counts(df, y, pred_a, pred_b, replicates, id_col))  # a row a replicate
+    reps = counts.where("rep > 0")
 
     def diff(m):
         return (metric_from_counts(m, F.col("tp0_a"), F.col("fp0_a"), F.col("fn0_a"))
@@ -148,9 +167,7 @@ def paired_bootstrap(df: DataFrame, y: str, pred_a: str, pred_b: str, replicates
     vals = reps.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), diff(m).alias("v")) for m in metrics])))
     ci = vals.groupBy("metric").agg(F.round(F.percentile("v", 0.025), 6).alias("ci_low"),
                                     F.round(F.percentile("v", 0.975), 6).alias("ci_high"))
-    pts = point.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(diff(m), 6).alias("point_diff"))
-                                          for m in metrics])))
-    return pts.join(ci, "metric")
+    return _point(counts, [(m, diff(m)) for m in metrics], "point_diff").join(ci, "metric")
 
 
 def erfc(x: Column) -> Column:

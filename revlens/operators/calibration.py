@@ -18,20 +18,22 @@ Null labels or vectors take no part; an empty table gives a constant 0.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import stored
 from .order_stats import exact_split
 
 MAX_FOLDS = 3
 STEPS = 10_000
+MAX_STEPS = 100  # of the sigmoid fit; a few are needed
 METHODS = ("sigmoid", "isotonic")
 
 
@@ -48,8 +50,8 @@ def fold_count(smaller: int, folds: int = MAX_FOLDS) -> int:
 def with_folds(rows: DataFrame, key: str, label: str = "label", y: str = "y", folds: int = MAX_FOLDS) -> DataFrame:
     """``rows`` (one a key and label) with ``fold``, 0 .. folds - 1, or null for a
     label without folds: in every (label, class) the sizes differ by one at most."""
-    checkpoint_dir(rows.sparkSession)
-    rows = rows.where(F.col(y).isin(0, 1) & F.col(label).isNotNull())
+    # Stored: the counts, every round of the cuts and the result read the rows.
+    rows = stored(rows.where(F.col(y).isin(0, 1) & F.col(label).isNotNull()).withColumn("_draw", fold_draw(key, F.col(label))))
     counts = {(r["l"], int(r["y"])): r["n"] for r in
               rows.groupBy(F.col(label).alias("l"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
     of = {lb: fold_count(min(counts.get((lb, c), 0) for c in (0, 1)), folds) for lb, _ in counts}
@@ -59,9 +61,8 @@ def with_folds(rows: DataFrame, key: str, label: str = "label", y: str = "y", fo
         return [n * (i + 1) // k if i < k else n for i in range(folds - 1)] if k else [n] * (folds - 1)
 
     if not counts:
-        return rows.withColumn("fold", F.lit(None).cast("int"))
-    drawn = rows.withColumn("_draw", fold_draw(key, F.col(label)))
-    split = exact_split(drawn, "_draw", key, [label, y], names=[str(i) for i in range(folds)], sizes=places)
+        return rows.drop("_draw").withColumn("fold", F.lit(None).cast("int"))
+    split = exact_split(rows, "_draw", key, [label, y], names=[str(i) for i in range(folds)], sizes=places, is_stored=True)
     known = [lb for lb, k in of.items() if k]
     return split.withColumn("fold", F.when(F.col(label).isin(known), F.col("split").cast("int"))).drop("split", "_draw")
 
@@ -111,14 +112,42 @@ def _scored(rows: DataFrame, model, features: str, i: int) -> tuple[DataFrame, s
 
 
 def sigmoid(scores: DataFrame, margin: str, y: str) -> tuple[float, float]:
-    """(slope, shift) of Platt's logistic regression with smoothed targets."""
-    n = {int(r["y"]): r["n"] for r in scores.groupBy(F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    t = F.when(F.col(y) == 1, (n.get(1, 0) + 1.0) / (n.get(1, 0) + 2.0)).otherwise(1.0 / (n.get(0, 0) + 2.0))
-    both = scores.select(margin, F.inline(F.array(F.struct(F.lit(1.0).alias("target"), t.alias("weight")),
-                                                  F.struct(F.lit(0.0).alias("target"), (1.0 - t).alias("weight")))))
-    points = VectorAssembler(inputCols=[margin], outputCol="_m").transform(both)
-    fit = LogisticRegression(featuresCol="_m", labelCol="target", weightCol="weight", maxIter=100, regParam=0.0, tol=1e-9).fit(points)
-    return float(fit.coefficients[0]), float(fit.intercept)
+    """(slope, shift) of Platt's logistic regression with smoothed targets, by
+    Newton steps: a pass gives the loss, its gradient and its second derivatives,
+    six numbers.  ``scores`` are read several times: give a stored table."""
+    x, one = F.col(margin), F.col(y) == 1
+    c = scores.agg(F.count_if(one).alias("a"), F.count_if(~one).alias("b"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    high, low = (c["a"] + 1.0) / (c["a"] + 2.0), 1.0 / (c["b"] + 2.0)
+    n = c["a"] + c["b"]
+    t = F.when(one, high).otherwise(low)
+    mean = (c["a"] * high + c["b"] * low) / n
+    start = np.array([0.0, math.log(mean / (1.0 - mean))])
+    if c["lo"] == c["hi"]:
+        return 0.0, float(start[1])
+
+    def look(w):
+        z = F.lit(float(w[0])) * x + F.lit(float(w[1]))
+        p = 1.0 / (1.0 + F.exp(-z))
+        h = p * (1.0 - p)
+        r = scores.agg(F.sum(F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - t * z), F.sum((p - t) * x), F.sum(p - t),
+                       F.sum(h * x * x), F.sum(h * x), F.sum(h)).first()
+        return r[0], np.array(r[1:3]), np.array([[r[3], r[4]], [r[4], r[5]]])
+
+    w, (loss, grad, hess) = start, look(start)
+    for _ in range(MAX_STEPS):
+        step = np.linalg.lstsq(hess, grad, rcond=None)[0]
+        gain = float(grad @ step)
+        if not gain > 1e-12 * n:
+            break
+        for halved in range(20):  # shorter, until the loss falls
+            new = w - step / 2 ** halved
+            at = look(new)
+            if at[0] <= loss:
+                break
+        else:
+            break
+        w, (loss, grad, hess) = new, at
+    return float(w[0]), float(w[1])
 
 
 def isotonic(scores: DataFrame, raw: str, y: str):
@@ -142,6 +171,7 @@ def fit(rows: DataFrame, y: str = "y", fold: str = "fold", features: str = "feat
     for k in folds:
         model = estimator.fit(rows.where(F.col(fold) != k))
         scores, raw, margin = _scored(rows.where(F.col(fold) == k), model, features, 0)
+        scores = stored(scores.select(raw, margin, y))
         out.models.append(model)
         out.calibrators["sigmoid"].append(sigmoid(scores, margin, y))
         out.calibrators["isotonic"].append(isotonic(scores, raw, y))

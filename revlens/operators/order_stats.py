@@ -23,18 +23,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from ..session import checkpoint_dir
+from ..session import stored
 
 BUCKETS = 1024
 MAX_SOUGHT = 10_000
 
 
-def _stored(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """The group and value columns alone, written once: every round reads them."""
-    checkpoint_dir(df.sparkSession)
+def _narrow(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
+    """The group and value columns alone."""
     v = F.col(value).cast("double")
-    return df.select(F.struct(*[F.col(c) for c in key], F.lit(0).alias("_all")).alias("g"), v.alias("v")) \
-        .where(v.isNotNull() & ~F.isnan(v)).checkpoint()
+    return df.select(F.struct(*[F.col(c) for c in key], F.lit(0).alias("_all")).alias("g"), v.alias("v")).where(v.isNotNull() & ~F.isnan(v))
 
 
 def _scale(v: Column, round_no: int) -> Column:
@@ -46,10 +44,12 @@ def _scale(v: Column, round_no: int) -> Column:
 
 
 def select_ranks(df: DataFrame, value: str, ranks: Callable[[tuple, int], Sequence[int]],
-                 by: Sequence[str] = ()) -> tuple[dict, dict]:
+                 by: Sequence[str] = (), is_stored: bool = False) -> tuple[dict, dict]:
     """({group: rows}, {(group, rank): (value, rows below it)}) for the 0-based
-    ranks that ``ranks(group, rows)`` asks for; ranks outside are left out."""
-    rows = _stored(df, by, value)
+    ranks that ``ranks(group, rows)`` asks for; ranks outside are left out.
+    ``is_stored``: ``df`` is a stored table, which every round may read."""
+    rows = _narrow(df, by, value)
+    rows = rows if is_stored else stored(rows)
     spark = df.sparkSession
     start = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     first = start.limit(MAX_SOUGHT + 1).collect()
@@ -65,6 +65,9 @@ def select_ranks(df: DataFrame, value: str, ranks: Callable[[tuple, int], Sequen
     while any(lo < hi for lo, hi, _ in sought.values()):
         open_ = [(i, at[g], k, *sought[g, k]) for i, (g, k) in enumerate(names) if sought[g, k][0] < sought[g, k][1]]
         state = spark.createDataFrame(open_, _state_type(rows)).hint("broadcast")  # at most MAX_SOUGHT rows
+        if round_no in (1, 2):  # later rounds read only what lies between open bounds
+            open_rows = (rows["g"] == state["sg"]) & (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+            rows = stored(rows.join(state, open_rows, "left_semi"))
         inside = rows.join(state, (rows["g"] == state["sg"]) & (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
         x, lo, hi = (_scale(F.col(c), round_no) for c in ("v", "lo", "hi"))
         # Where the scale does not tell the bounds apart (or overflows), the smallest value goes alone.
@@ -114,7 +117,7 @@ def split_sizes(n: int, cuts: Sequence[float]) -> list[int]:
 
 
 def exact_split(df: DataFrame, draw: str, tie: str, by: Sequence[str], names: Sequence[str] = ("train", "val", "test"),
-                cuts: Sequence[float] = (0.7, 0.8), sizes: Callable[[Mapping | tuple, int], Sequence[int]] | None = None) -> DataFrame:
+                cuts: Sequence[float] = (0.7, 0.8), sizes: Callable[[Mapping | tuple, int], Sequence[int]] | None = None, is_stored: bool = False) -> DataFrame:
     """SPL-2: split every group of ``by`` at exact row counts, in the order of
     (``draw``, ``tie``).  Cut values are order statistics of ``draw``; only
     rows that share a cut's value are ranked among themselves, by ``tie``
@@ -122,7 +125,8 @@ def exact_split(df: DataFrame, draw: str, tie: str, by: Sequence[str], names: Se
     group go to the last split."""
     places = sizes or (lambda g, n: split_sizes(n, cuts))
     # The row at place m is the first after the cut; at m = n nothing is.
-    totals, found = select_ranks(df, draw, places, by)
+    df = df if is_stored else stored(df)  # the cuts and both parts of the result read it
+    totals, found = select_ranks(df, draw, places, by, is_stored=True)
     spark = df.sparkSession
     table = []
     for g, n in totals.items():

@@ -415,13 +415,15 @@ def open_rows(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame
     # Lists of the same nodes (a passage shared whole) are one list: the one with the smallest key.
     same = [F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")]
     several = (rows.groupBy("key").agg(F.min("comp").alias("near"), F.max("comp").alias("far"), F.count("*").alias("m"), *same)
-               .where("near <> far").groupBy("s", "t", "m").agg(F.min(F.struct("key", "near")).alias("one")).select("one.*"))
+               .where("near <> far").groupBy("s", "t", "m").agg(F.min(F.struct("key", "near")).alias("one")).select("one.*", "m"))
+    # Dealt by the list: one row of it tells what its rows weigh, and they learn their parts as they learn ``near``.
+    several, task = parted(cut(several), F.col("m") * F.ceil(F.col("m") / BLOCK), TASK_ROWS)
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = (rows.join(several, "key").withColumns({"blocks": blocks, "own": own})
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
-    rows = dealt(cut(rows.select(*OPEN)), F.lit(1), TASK_ROWS)
+    rows = cut(rows.select(*OPEN, task.alias("task")))
     points = of_tasks(rows, nodes.select("node", "n", "vec", "fine"))
 
     def run(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
@@ -437,14 +439,20 @@ def open_rows(lists: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame
             .applyInPandas(run, rows.select(*OPEN, F.lit(0).cast("long").alias("n")).schema))
 
 
-def dealt(rows: DataFrame, weight: Column, room: int) -> DataFrame:
-    """``rows`` with a task: lists with the same ``near`` come together, in parts of about ``room``."""
+def parted(rows: DataFrame, weight: Column, room: int) -> tuple[DataFrame, Column]:
+    """``rows`` with ``parts``, and the task of a row that has ``near``, ``parts``, ``key``, ``i`` and ``j``:
+    lists with the same ``near`` come together, in parts of about ``room``."""
     total = F.sum(weight)
     tasks = max(1, -(-(rows.agg(total.alias("w")).first()["w"] or 0) // room))
     large = cut(rows.groupBy("near").agg(F.ceil(total / room).alias("parts")).where("parts > 1"))  # at most ``tasks`` rows
     part = F.pmod(F.xxhash64("key", "i", "j"), F.coalesce("parts", F.lit(1).cast("long")))
-    return (rows.join(large, "near", "left").withColumn("task", F.pmod(F.xxhash64("near", part), F.lit(tasks)))
-            .select(*rows.columns, "task"))
+    return rows.join(large, "near", "left"), F.pmod(F.xxhash64("near", part), F.lit(tasks))
+
+
+def dealt(rows: DataFrame, weight: Column, room: int) -> DataFrame:
+    """``rows`` with a task, stored: both sides of a cogroup read them."""
+    made, task = parted(rows, weight, room)
+    return cut(made.select(*rows.columns, task.alias("task")))
 
 
 def of_tasks(rows: DataFrame, load: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, ship
 
-CACHE = 500_000  # remembered words of one Python worker; cut down to the last texts' when full
+CACHE = 500_000  # remembered words of one Python worker; when full they are set aside once, and what comes again is taken back
 LONG = 64        # longer words are not remembered
 TOGETHER = 1 << 21  # characters encoded in one go
 MARKS = ".,;:!?#$%&*"  # no letter, number or apostrophe: never part of a letter word's piece
@@ -53,6 +53,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok, self.known, self.letters, self.marks = Tokenizer.from_file(path), {"": b""}, {}, {"": b""}
+        self.old, self.old_letters = {}, {}  # the memory before the last one was full
         self.lone = re.compile("[,.](?<![a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][,.])(?= )")
 
     def _ids(self, word: str) -> bytes:
@@ -71,15 +72,21 @@ class Encoder:
                 self.letters.update((w, self._ids(w)) for w in part)
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        split, out = {}, {}
-        for w in words:
+        split, out = {}, {w: self.old[w] for w in words & self.old.keys()}
+        words = words.difference(out)
+        plain = [w for w in words if w.isascii() and w.isalpha()]  # no marks to part from
+        lower = list(map(str.lower, plain))
+        for w in words.difference(plain):
             core = w.rstrip(MARKS)
             # U+0130 lower-cases to a letter and a mark, which joins the marks after it.
             if core.isalpha() and (core.isascii() or max(core) < "\u0250" and "\u0130" not in core):
                 split[w] = (core.lower(), w[len(core):])
             else:
                 out[w] = self._ids(w)
-        self._letter_words(list({c for c, _ in split.values()}.difference(self.letters)))
+        cores = {c for c, _ in split.values()}.union(lower).difference(self.letters)
+        self.letters.update((c, self.old_letters[c]) for c in cores & self.old_letters.keys())
+        self._letter_words(list(cores.difference(self.letters)))
+        out.update(zip(plain, map(self.letters.__getitem__, lower), strict=True))
         for w, (core, tail) in split.items():
             if tail not in self.marks:
                 self.marks[tail] = self._ids(tail)
@@ -110,8 +117,8 @@ class Encoder:
                 if len(w) > LONG:
                     del self.known[w]
             if max(len(self.known), len(self.letters), len(self.marks)) > CACHE:
-                self.known = {"": b""} | {w: self.known[w] for w in words if w in self.known}
-                self.letters, self.marks = {}, {"": b""}
+                self.old, self.old_letters = self.known, self.letters
+                self.known, self.letters, self.marks = {"": b""}, {}, {"": b""}
             at = end
 
 

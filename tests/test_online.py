@@ -100,3 +100,13 @@ def test_edge_rows(spark):
     for bad in (df.limit(0), df.where("label = 1")):
         with pytest.raises(ValueError):
             O.averaged_perceptron(bad, WIDTH)
+
+
+def test_one_deal_serves_both_models(spark, monkeypatch):
+    df = rows(spark, 200, seed=3, noise=0.1)
+    apart = [fit(df, WIDTH, 3, shards=4).weights for fit in (O.averaged_perceptron, O.sgd_log_loss)]
+    made = O.deal(df, shards=4, entries=40)  # a few rows a record
+    assert sum(made.sizes.values()) == 200 and made.packed.count() > 8
+    monkeypatch.setattr(O, "dealt", lambda *a: pytest.fail("dealt once"))
+    for fit, want in zip((O.averaged_perceptron, O.sgd_log_loss), apart):
+        assert fit(made, WIDTH, 3).weights == pytest.approx(want, abs=1e-12)

@@ -8,6 +8,7 @@ from ..functions import constants as K
 from ..functions import rules as R
 from ..functions import text as T
 from ..operators import labels as LB
+from ..session import stored
 from ..sources.fixtures import label_batches, reviews
 from . import duck as D
 from .registry import register
@@ -77,9 +78,9 @@ SELECT id, source_file, source_mtime, row_order, {cols} FROM filtered WHERE id I
 @register("batch_conflicts", _conflict_sql)
 def q_batch_conflicts(spark, d):
     """WIN-2 + JOIN-4: rows of ids with differing label vectors."""
-    f = _filtered(spark, d)
-    c = LB.conflicts(f)
-    return c.select("id", "source_file", "source_mtime", "row_order", *LABELS)
+    # Stored: the ids' aggregate and the rows' join both read the filtered rows, most of the work.
+    f = stored(_filtered(spark, d).select("id", "source_file", "source_mtime", "row_order", *LABELS))
+    return LB.conflicts(f)
 
 
 def _quality_sql(group_col: str) -> str:

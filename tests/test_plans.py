@@ -34,3 +34,20 @@ def test_label_stages_compile(spark, sf_small, name):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_long_fused_methods_are_not_interpreted(spark, sf_small):
+    """Unless the JVM compiles long methods, a query sets the limit above which stages are not fused."""
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    flagged = "-XX:-DontCompileHugeMethods" in spark.sparkContext.getConf().get("spark.executor.extraJavaOptions", "")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        E.queries()["split_summary"](spark, sf_small)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == ("65535" if flagged else "8000")
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
+def test_conflicts_filter_the_batches_once(spark, sf_small):
+    """Aggregate and join read the stored rows; neither makes the batches from the source again."""
+    assert "lineitem" not in _plan(E.queries()["batch_conflicts"](spark, sf_small))

@@ -2,18 +2,19 @@
 HIT-1) on embedding arrays.
 
 Bootstrap: every row gets a Poisson(1) weight per replicate from md5 of
-(replicate, row id) by inverse CDF.  ``explode(sequence(1, B))`` is map-side
-and is followed immediately by a partial aggregation keyed by replicate, so
-only B x (a few counts) cross the shuffle; the quantiles are exact over B
-values a metric.  Both bootstraps draw the same weights, so one stored table
+(replicate, row id) by inverse CDF.  Tasks draw for batches of rows at once
+(``draws``) and give their counts by replicate, so only B x (a few counts) a
+task cross the shuffle; the quantiles are exact over B values a metric.  Both bootstraps draw the same weights, so one stored table
 of replicate counts (``replicate_counts``) serves them in a report.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from ..functions.text import let
 from ..session import stored
 from ..sources.fixtures import u
 from ..sources.tables import fence
+from . import draws
 
 # Poisson(1) cumulative probabilities P(K <= k), k = 0..11.
 POISSON1_CDF = [math.exp(-1.0) * sum(1.0 / math.factorial(j) for j in range(k + 1)) for k in range(12)]
@@ -43,12 +45,6 @@ def poisson1_hex(digits: Column) -> Column:
     return expr.otherwise(F.lit(len(POISSON1_CDF)))
 
 
-def _weighted_counts(y: Column, pred: Column, w: Column, suffix: str = "") -> list[Column]:
-    return [F.sum(F.when((y == 0) & (pred == 0), w).otherwise(0)).alias("tp0" + suffix),
-            F.sum(F.when((y == 1) & (pred == 0), w).otherwise(0)).alias("fp0" + suffix),
-            F.sum(F.when((y == 0) & (pred == 1), w).otherwise(0)).alias("fn0" + suffix)]
-
-
 def metric_from_counts(name: str, tp0: Column, fp0: Column, fn0: Column) -> Column:
     def r(n, d):
         return F.when(d > 0, n.cast("double") / d.cast("double")).otherwise(F.lit(0.0))
@@ -124,12 +120,33 @@ def replicate_counts(df: DataFrame, y: str, pred_a: str, pred_b: str | None = No
     rows = df.select(key.cast("string").alias("id"), F.col(y).cast("int").alias("y"), F.col(pred_a).cast("int").alias("a"),
                      b.cast("int").alias("b"))
     rows = fence(rows, *rows.columns).where("y IN (0, 1) AND (a IN (0, 1) OR b IN (0, 1))")  # other rows count nowhere
-    ex = rows.select("id", "y", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("rep"))
-    digits = F.substring(F.md5(F.concat_ws("|", F.concat(F.lit("boot"), F.col("rep").cast("string")), "id")), 1, 8)
-    ex = ex.select("rep", "y", "a", "b", digits.alias("d"))
-    ex = ex.select("rep", "y", "a", "b", F.when(F.col("rep") == 0, F.lit(1)).otherwise(poisson1_hex(F.col("d"))).alias("w"))
-    yy, w = F.col("y"), F.col("w")
-    return ex.groupBy("rep").agg(*_weighted_counts(yy, F.col("a"), w, "_a"), *_weighted_counts(yy, F.col("b"), w, "_b"))
+    a, b = (F.when(F.col(c).isin(0, 1), F.col(c)).otherwise(2) for c in "ab")
+    cells = rows.select("id", (F.col("y") * 9 + a * 3 + b).alias("cell"))
+    # A row costs a thousand digests: dealt to all cores, however few tasks its source is read in.
+    dealt = cells.repartition(3 * cells.sparkSession.sparkContext.defaultParallelism)
+    made = dealt.mapInPandas(_drawn(replicates), "rep int, " + ", ".join(f"{c} long" for c in COUNTS))
+    return made.groupBy("rep").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+COUNTS = [f"{c}_{p}" for p in "ab" for c in ("tp0", "fp0", "fn0")]
+
+
+def _drawn(replicates: int):
+    """A task's counts by replicate; a cell is 9 y + 3 a + b, 2 for a decision that is neither 0 nor 1."""
+    cuts = [math.ceil(c * 4294967296.0) for c in POISSON1_CDF]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((replicates + 1, 18), dtype=np.int64)
+        for f in frames:
+            ids = [None if x is None else x.encode() for x in f["id"]]
+            total += draws.cell_counts(ids, f["cell"].to_numpy(np.int64), 18, b"boot", replicates, cuts)
+        if total[0].any():
+            y_a_b = total.reshape(-1, 2, 3, 3)
+            by = {"a": y_a_b.sum(axis=3), "b": y_a_b.sum(axis=2)}
+            cols = {f"{name}_{p}": by[p][:, y, d] for p in "ab" for name, y, d in (("tp0", 0, 0), ("fp0", 1, 0), ("fn0", 0, 1))}
+            yield pd.DataFrame({"rep": np.arange(replicates + 1, dtype=np.int32)} | cols)
+
+    return run
 
 
 def _point(counts: DataFrame, values: Sequence[tuple[str, Column]], name: str) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from revlens.operators import draws as R
 from revlens.operators import stats as S
 
 
@@ -45,3 +46,21 @@ def test_intervals_agree_whether_counts_are_shared(spark):
     one = [tuple(r) for r in S.bootstrap_ci(df, "y", "a", replicates=20).orderBy("metric").collect()]
     assert one == [tuple(r) for r in S.bootstrap_ci(df, "y", "a", counts=counts).orderBy("metric").collect()]
     assert one[0][1] == pytest.approx(one[0][1]) and all(r[2] <= r[1] <= r[3] for r in one)
+
+
+def test_draws_are_md5_for_ids_of_any_length():
+    ids = [b"", "\u00e9\U0001f600".encode() * 9, *[bytes([97 + n % 26]) * n for n in (1, 7, 45, 46, 47, 50, 51, 55, 56, 63, 64, 120, 300)]]
+    reps, seen = [1, 9, 10, 57, 100, 999, 1000, 12345], set()
+    for rows, made in R.first_words(ids, b"boot", reps):
+        for rep, words in made:
+            for i, w in zip(rows, words, strict=True):
+                assert int(w) == int(hashlib.md5(b"boot%d|" % rep + ids[i]).hexdigest()[:8], 16)
+                seen.add((rep, int(i)))
+    assert len(seen) == len(reps) * len(ids)
+
+
+def test_rows_are_not_exploded_by_replicate(spark):
+    """Rows are dealt to all cores and counted where they are: no row a replicate."""
+    df = spark.createDataFrame([("r", 0, 0, 1)], "review_id string, y int, a int, b int").coalesce(1)
+    plan = S.replicate_counts(df, "y", "a", "b")._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and "RoundRobinPartitioning" in plan

@@ -57,3 +57,18 @@ def test_routing_reads_its_decisions_once(spark, sf_small):
     """All caps and scorers in one pass over the stored reviews."""
     plan = _plan(E.queries()["hybrid_routing"](spark, sf_small))
     assert plan.split("== Initial Plan ==")[0].count("FileScan parquet") == 1 and "lineitem" not in plan
+
+
+def test_multilabel_chi2_sums_in_the_rows(spark, sf_small):
+    """A vocabulary within the cap: no (review, term) rows are joined or sorted."""
+    plan = _plan(E.queries()["chi2_multilabel"](spark, sf_small))
+    assert "Join" not in plan and "lineitem" not in plan
+
+
+def test_multilabel_chi2_above_the_cap(spark, sf_small, monkeypatch):
+    """A vocabulary above the cap is joined by term and gives the same."""
+    from revlens.operators import textvec as V
+    q = E.queries()["chi2_multilabel"]
+    rows = [tuple(r) for r in q(spark, sf_small).collect()]
+    monkeypatch.setattr(V, "MAX_FEATURES", 3)
+    assert [tuple(r) for r in q(spark, sf_small).collect()] == rows

@@ -84,3 +84,16 @@ def test_splits_and_folds_do_not_make_their_rows_again(spark):
 def test_sigmoid_of_one_margin(spark):
     a, b = C.sigmoid(spark.createDataFrame([(2.0, 1), (2.0, 0), (2.0, 0)], "m double, y int"), "m", "y")
     assert a == 0.0 and 1 / (1 + np.exp(-b)) == pytest.approx((2 / 3 + 2 * 0.25) / 3)
+
+
+def test_characters_are_counted_as_their_arrays(spark, monkeypatch):
+    """Grams counted in the tasks, in parts of any size, give the table of the exploded arrays."""
+    from pyspark.sql import functions as F
+    from revlens.operators import textvec as V
+    texts = ["abcabcabc", "", "ab", None, "caf\u00e9 \U0001f600\U0001f600\U0001f600 x", "caf\u00e9 abc", "abc", "aaaaaaaa", "abc"]
+    docs = spark.createDataFrame([(t,) for t in texts], "plain string").repartition(2)
+    want = {tuple(r) for r in V.term_table(docs.select(V.char_ngrams(F.col("plain")).alias("t")), "t", max_df=1.0).collect()}
+    assert want
+    for held in (1 << 18, 2):
+        monkeypatch.setattr(V, "HELD_TERMS", held)
+        assert {tuple(r) for r in V.block_table(docs, "plain_char", {}, max_df=1.0).collect()} == want
